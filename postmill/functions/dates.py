@@ -26,23 +26,32 @@ DAY_MS = 86_400_000
 GREGORIAN_START_MS = -12_219_292_800_000
 
 
-def message_millis(date: Column) -> Column:
-    """Epoch milliseconds of a message date, or null if the text has another shape.
+def date_core(date: Column) -> Column:
+    """The part of a message date that names an instant; empty if the text has another shape.
 
-    The weekday must be a name but need not fit the date.  Dates before the
-    Gregorian calendar are read as Julian ones, so a mistyped year 1 gives the
-    usual mail-tool value.
+    The weekday must be a name but need not fit the date.
     """
-    inner = F.regexp_extract(date, DATE_SHAPE, 1)
+    return F.regexp_extract(date, DATE_SHAPE, 1)
+
+
+def core_millis(core: Column) -> Column:
+    """Epoch milliseconds of :func:`date_core`, null if it names no instant."""
     # "14  September 2001" -> "14 Sep 2001"
-    short = F.regexp_replace(inner, r"[ \t]+([A-Za-z]{3})?[A-Za-z]*[ \t]*", " $1 ")
-    plain = F.trim(F.regexp_replace(short, " +", " "))
-    millis = F.unix_millis(F.try_to_timestamp(plain, F.lit(INSTANT_PATTERN)))
+    short = F.regexp_replace(core, r"[ \t]+([A-Za-z]{3})[A-Za-z]*[ \t]+", " $1 ")
+    plain = F.regexp_replace(short, r"[ \t]+", " ")
+    return F.unix_millis(F.try_to_timestamp(plain, F.lit(INSTANT_PATTERN)))
+
+
+def with_julian_days(millis: Column, core: Column) -> Column:
+    """Read dates before the Gregorian calendar as Julian ones.
+
+    A mistyped year 1 then gives the usual value of mail tools.
+    """
     # Years are counted from March, so that the leap day is the last one.
-    year = F.regexp_extract(inner, r"(\d{4})[ \t]+\d+:", 1).cast("int")
-    march_year = year - F.when(inner.rlike(r"(?i)[ \t](?:Jan|Feb)"), 1).otherwise(0)
-    julian_shift = F.floor(march_year / 100) - F.floor(march_year / 400) - 2
-    return F.when(millis < GREGORIAN_START_MS, millis + julian_shift * DAY_MS).otherwise(millis)
+    year = F.regexp_extract(core, r"(\d{4})[ \t]+\d+:", 1).cast("int")
+    march_year = year - F.when(core.rlike(r"(?i)[ \t](?:Jan|Feb)"), 1).otherwise(0)
+    shift = F.floor(march_year / 100) - F.floor(march_year / 400) - 2
+    return F.when(millis < GREGORIAN_START_MS, millis + shift * DAY_MS).otherwise(millis)
 
 
 def utc_date(millis: Column) -> Column:

@@ -21,12 +21,16 @@ def header_block(text: Column) -> Column:
     return F.when(text.startswith("\n"), F.lit("")).otherwise(F.substring_index(text, "\n\n", 1))
 
 
-def body_block(text: Column, head: Column) -> Column:
-    """What follows the header block, from the empty line on; empty if there is no text.
+def after_head(text: Column, head: Column) -> Column:
+    """What follows the header block, from the empty line on.
 
     ``text`` must come from :func:`without_tail`.
     """
-    rest = F.substr(text, F.length(head) + 1)
+    return F.substr(text, F.length(head) + 1)
+
+
+def body_lines(rest: Column) -> Column:
+    """The rest with its last line ended again; empty if there is no text."""
     return F.when(rest == "", rest).otherwise(F.concat(rest, F.lit("\n")))
 
 

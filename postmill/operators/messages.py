@@ -10,6 +10,17 @@ from postmill.functions import dates, headers, text
 REFERENCE = "reference"
 INTENDED = "intended"
 
+# The headers that are read, by the name of their column.
+HEADERS = {
+    "date_text": "Date",
+    "id_text": "Message-ID",
+    "from": "From",
+    "to": "To",
+    "subject": "Subject",
+    "x_cc": "X-cc",
+    "x_bcc": "X-bcc",
+}
+
 FIELDS = ["from", "ts", "mid", "to", "subject", "cc", "bcc", "body"]
 
 
@@ -55,21 +66,18 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
         head = headers.unfold(head)
     fields = split.select(
         "path",
-        *[
-            headers.header(head, name).alias(alias)
-            for alias, name in [
-                ("date_text", "Date"),
-                ("id_text", "Message-ID"),
-                ("from", "From"),
-                ("to", "To"),
-                ("subject", "Subject"),
-                ("x_cc", "X-cc"),
-                ("x_bcc", "X-bcc"),
-            ]
-        ],
-        text.clean_body(headers.body_block(F.col("whole"), F.col("head"))).alias("body"),
+        headers.after_head(F.col("whole"), F.col("head")).alias("rest"),
+        *[headers.header(head, name).alias(alias) for alias, name in HEADERS.items()],
+    )
+    cored = fields.withColumn("core", dates.date_core(F.col("date_text")))
+    timed = cored.withColumn("ts", dates.core_millis(F.col("core"))).withColumn(
+        "ts", dates.with_julian_days(F.col("ts"), F.col("core"))
     )
-    timed = fields.withColumn("ts", dates.message_millis(F.col("date_text")))
+    # A generator of one row: a filter on its output stays above it.  Otherwise
+    # the filter on ``reason`` would be pushed below the projections and the
+    # headers and dates would be parsed twice.
+    one_row = F.inline(F.array(F.struct("date_text", "id_text", "from", "ts")))
+    parsed = timed.select("path", "to", "subject", "x_cc", "x_bcc", "rest", one_row)
     reason = (
         F.when(F.col("date_text").isNull(), "no_date")
         .when(F.col("ts").isNull(), "bad_date")
@@ -81,7 +89,7 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
         cc, bcc = F.coalesce("x_bcc", "x_cc"), F.lit(None).cast("string")
     else:
         cc, bcc = F.col("x_cc"), F.col("x_bcc")
-    return timed.select(
+    return parsed.select(
         "path",
         "from",
         "ts",
@@ -90,7 +98,7 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
         "subject",
         cc.alias("cc"),
         bcc.alias("bcc"),
-        "body",
+        text.clean_body(headers.body_lines(F.col("rest"))).alias("body"),
         reason.alias("reason"),
     )
 

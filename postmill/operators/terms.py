@@ -24,6 +24,20 @@ def default_stop_words() -> list[str]:
     return list(StopWordsRemover.loadDefaultStopWords("english"))
 
 
+def message_words(
+    messages: DataFrame, keys: list[str], body: str = "body", stop_words: list[str] | None = None
+) -> DataFrame:
+    """Keys and the array ``words``: lower-case, at least three characters, no stop words.
+
+    The stop words go into the plan as a hash set.
+    """
+    keep = f"length(word) >= {SHORTEST_WORD}"
+    if stop_words:
+        keep += f" and word not in ({text.sql_literals(sorted(set(stop_words)))})"
+    tokens = messages.select(*keys, text.keyword_tokens(F.col(body)).alias("tokens"))
+    return tokens.select(*keys, F.expr(f"filter(tokens, word -> {keep})").alias("words"))
+
+
 def run_lengths(messages: DataFrame, keys: list[str]) -> DataFrame:
     """Sorted array ``words`` to one row per distinct word: keys, ``word``, ``tf``.
 
@@ -41,15 +55,25 @@ def run_lengths(messages: DataFrame, keys: list[str]) -> DataFrame:
             lambda at: at.isNotNull(),
         ).alias("starts"),
     )
-    end = lambda run: F.coalesce(F.get("starts", run + 1), F.size("words"))
-    runs = F.transform(
-        "starts",
-        lambda at, run: F.struct(
-            F.get("words", at).alias("word"),
-            (end(run) - at).cast("bigint").alias("tf"),
-        ),
-    )
-    return starts.select(*keys, F.inline(runs))
+
+    def run(at: Column, number: Column) -> Column:
+        end = F.coalesce(F.get("starts", number + 1), F.size("words"))
+        # The word is never null; saying so lets the branches of a plan share a shuffle.
+        word = F.coalesce(F.get("words", at), F.lit(""))
+        return F.struct(word.alias("word"), (end - at).cast("bigint").alias("tf"))
+
+    return starts.select(*keys, F.inline(F.transform("starts", run)))
+
+
+def _without(rows: DataFrame, stop_words: DataFrame) -> DataFrame:
+    stop = stop_words.select(stop_words[stop_words.columns[0]].alias("word")).distinct()
+    return rows.join(stop, "word", "left_anti").select(*rows.columns)
+
+
+def _stop_list(stop_words: list[str] | DataFrame | None) -> list[str]:
+    if isinstance(stop_words, DataFrame):
+        return []
+    return default_stop_words() if stop_words is None else stop_words
 
 
 def term_counts(
@@ -60,28 +84,32 @@ def term_counts(
 ) -> DataFrame:
     """Occurrences of each word in each message: keys, ``word``, ``tf``.
 
-    Words are lower-case and at least three characters long; stop words are
-    left out.  ``keys`` must be unique in ``messages``.  A list of stop words
-    goes into the plan as a hash set; a DataFrame (first column) of any size is
+    ``keys`` must be unique in ``messages``.  ``stop_words`` is a list (Spark's
+    English one by default) or a DataFrame of any size, whose first column is
     removed by an anti-join.
     """
-    tokens = messages.select(*keys, text.keyword_tokens(F.col(body)).alias("tokens"))
-    keep = f"length(word) >= {SHORTEST_WORD}"
-    if stop_words is None:
-        stop_words = default_stop_words()
-    if not isinstance(stop_words, DataFrame) and stop_words:
-        keep += f" and word not in ({text.sql_literals(sorted(set(stop_words)))})"
-    words = tokens.select(*keys, F.sort_array(F.expr(f"filter(tokens, word -> {keep})")).alias("words"))
-    counts = run_lengths(words, keys)
-    if isinstance(stop_words, DataFrame):
-        stop = stop_words.select(stop_words[stop_words.columns[0]].alias("word")).distinct()
-        counts = counts.join(stop, "word", "left_anti").select(*keys, "word", "tf")
-    return counts
+    words = message_words(messages, keys, body, _stop_list(stop_words))
+    counts = run_lengths(words.withColumn("words", F.sort_array("words")), keys)
+    return _without(counts, stop_words) if isinstance(stop_words, DataFrame) else counts
+
+
+def _frequency(words: DataFrame) -> DataFrame:
+    return words.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("df"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
-    """Number of messages that hold each word: ``word``, ``df``."""
-    return counts.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("df"))
+    """Number of messages that hold each word: ``word``, ``df``, from term counts."""
+    return _frequency(counts)
+
+
+def message_frequency(
+    messages: DataFrame, body: str = "body", stop_words: list[str] | DataFrame | None = None
+) -> DataFrame:
+    """The same from the messages themselves, without counting inside each message."""
+    words = message_words(messages, [], body, _stop_list(stop_words))
+    word = F.explode(F.array_distinct("words")).alias("word")
+    frequency = _frequency(words.select(word).select(F.coalesce("word", F.lit("")).alias("word")))
+    return _without(frequency, stop_words) if isinstance(stop_words, DataFrame) else frequency
 
 
 def inverse_document_frequency(frequency: DataFrame) -> DataFrame:
@@ -110,9 +138,13 @@ def row_l1_normalise(matrix: DataFrame, row: str, value: str = "value") -> DataF
 
 
 def _short_key(key: Column) -> Column:
-    """The key itself, or a digest if it is long.  The leading blank keeps digests apart from words."""
+    """The key itself, or a digest if it is long; never null.
+
+    The leading blank keeps digests apart from words.
+    """
     name = key.cast("string")
-    return F.when(F.length(name) > LONGEST_KEY, F.concat(F.lit(" "), F.sha2(name, 256))).otherwise(name)
+    short = F.when(F.length(name) > LONGEST_KEY, F.concat(F.lit(" "), F.sha2(name, 256))).otherwise(name)
+    return F.coalesce(short, F.lit(" "))
 
 
 def split_by_share(per_key: DataFrame, share: str, limit: int) -> tuple[DataFrame, DataFrame]:
@@ -145,9 +177,10 @@ def join_by_share(
     return near.unionByName(far.join(small, key).select(*facts.columns, *added))
 
 
-def word_scores(counts: DataFrame, keys: list[str], frequent: int = FREQUENT_WORDS) -> DataFrame:
+def word_scores(
+    counts: DataFrame, frequency: DataFrame, keys: list[str], frequent: int = FREQUENT_WORDS
+) -> DataFrame:
     """TF-IDF: keys, ``word``, ``score`` = tf * log2(T / df).  Zero scores are left out."""
-    frequency = document_frequency(counts)
     total = frequency.agg(F.sum("df")).scalar()
     joined = join_by_share(counts, frequency, "word", "df", frequent)
     score = F.col("tf") * F.log2(total / F.col("df"))

@@ -23,12 +23,18 @@ def message_keywords(
     call :func:`keywords_of_counts` on it.
     """
     bodies = emails.filter(F.col("body").isNotNull())
-    return keywords_of_counts(terms.term_counts(bodies, KEYS, "body", stop_words), n, frequent)
+    frequency = terms.message_frequency(bodies, "body", stop_words)
+    counts = terms.term_counts(bodies, KEYS, "body", stop_words)
+    return _best(counts, frequency, n, frequent)
 
 
 def keywords_of_counts(
     counts: DataFrame, n: int = terms.TOP_WORDS, frequent: int = terms.FREQUENT_WORDS
 ) -> DataFrame:
     """Keywords from (``from``, ``ts``, ``word``, ``tf``) rows."""
-    best = terms.top_words(terms.word_scores(counts, KEYS, frequent), KEYS, n)
+    return _best(counts, terms.document_frequency(counts), n, frequent)
+
+
+def _best(counts: DataFrame, frequency: DataFrame, n: int, frequent: int) -> DataFrame:
+    best = terms.top_words(terms.word_scores(counts, frequency, KEYS, frequent), KEYS, n)
     return best.select(terms.entity_id(F.col("from"), F.col("ts")).alias("doc"), "word", "score")

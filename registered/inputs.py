@@ -37,31 +37,22 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per document; the last of every ten repeats the key of the first."""
-    number = F.col("doc_id")
-    docs = table(spark, sf_dir, "documents").select(
-        number.alias("seq"),
-        F.when(number % 10 == 9, number - 9).otherwise(number).alias("kk"),
-        "text",
+    docs = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id as seq", "case when doc_id % 10 = 9 then doc_id - 9 else doc_id end as kk", "text as body"
     )
-    seq, kk = F.col("seq"), F.col("kk")
-    user = kk % 37
-    first = F.concat(F.lit("user"), ((seq * 7 + 3) % 11).cast("string"), F.lit("@corp.example.com"))
-    second = F.concat(F.lit(", USER"), ((seq * 11 + 5) % 13).cast("string"), F.lit("@Corp.example.com,"))
-    return docs.select(
+    return docs.selectExpr(
         "seq",
-        F.concat(
-            F.lit("user"),
-            user.cast("string"),
-            F.when(user % 3 == 0, "@partner.example.org").otherwise("@corp.example.com"),
-        ).alias("sender"),
-        (F.lit(915148800000) + ((kk * 7919) % 1460) * 86400000 + (kk % 86400) * 1000).alias("ts"),
-        F.when(seq % 10 == 9, F.lit(None)).when(seq % 5 == 0, F.concat(first, second)).otherwise(first).alias(
-            "recipients"
-        ),
-        F.when(seq % 13 != 0, F.concat(F.lit("Subject "), seq.cast("string"))).alias("subject"),
-        F.when(seq % 4 == 0, F.lit("cc@corp.example.com")).alias("x_cc"),
-        F.when(seq % 8 == 0, F.lit("bcc@corp.example.com")).alias("x_bcc"),
-        F.col("text").alias("body"),
+        """concat('user', string(kk % 37),
+             case when (kk % 37) % 3 = 0 then '@partner.example.org' else '@corp.example.com' end) as sender""",
+        "915148800000 + ((kk * 7919) % 1460) * 86400000 + (kk % 86400) * 1000 as ts",
+        """case when seq % 10 = 9 then null
+                when seq % 5 = 0 then concat('user', string((seq * 7 + 3) % 11), '@corp.example.com, USER',
+                                             string((seq * 11 + 5) % 13), '@Corp.example.com,')
+                else concat('user', string((seq * 7 + 3) % 11), '@corp.example.com') end as recipients""",
+        "case when seq % 13 != 0 then concat('Subject ', string(seq)) end as subject",
+        "case when seq % 4 = 0 then 'cc@corp.example.com' end as x_cc",
+        "case when seq % 8 = 0 then 'bcc@corp.example.com' end as x_bcc",
+        "body",
     )
 
 
