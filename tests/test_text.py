@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from postmill.functions import text
+
+
+def test_split_dropping_tail(values):
+    cases = ["a,b,,", ",", "", "a,,b", ",a", "a", ",,", None]
+    assert values(cases, lambda t: text.split_dropping_tail(t, ",")) == [
+        ["a", "b"],
+        [],
+        [""],
+        ["a", "", "b"],
+        ["", "a"],
+        ["a"],
+        [],
+        None,
+    ]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="a,b ", max_size=8), min_size=30, max_size=30))
+def test_split_against_rule(values, cases):
+    def rule(line):
+        parts = line.split(",")
+        while len(parts) > 0 and parts[-1] == "":
+            parts.pop()
+        return parts if line else [""]
+
+    assert values(cases, lambda t: text.split_dropping_tail(t, ",")) == [rule(c) for c in cases]
+
+
+def test_recipients(values):
+    cases = ["A@x.com, \tB@x.com,", "a, ", "a,,b", ","]
+    assert values(cases, text.recipients) == [["a@x.com", "b@x.com"], ["a", ""], ["a", "", "b"], []]
+    assert values(cases, text.recipients_verbatim) == [
+        ["A@x.com", "\tB@x.com", ""],
+        ["a", ""],
+        ["a", "", "b"],
+        ["", ""],
+    ]
+
+
+def test_trims(values):
+    cases = ["\ta ", " \x00a b\x1f\n", "\xa0a"]
+    assert values(cases, text.wide_trim) == ["a", "a b", "\xa0a"]
+    assert values(cases, F.trim) == ["\ta", "\x00a b\x1f\n", "\xa0a"]
+
+
+def test_clean_body(values):
+    cases = ["\nDon't  stop\n_x_!\n", "don’t", "a - b", "", "''", "é", None]
+    assert values(cases, text.clean_body) == [" Dont stop _x_ ", "don t", "a b", "", "", " ", None]
+
+
+def test_domain_of(values):
+    assert values(["x@y@corp.com", "CORP.COM", "a@b", ""], text.domain_of) == ["corp.com", "CORP.COM", "b", ""]
+
+
+def test_sentiment_tokens(values):
+    assert values(["Good, GOOD-bad", ""], text.sentiment_tokens) == [["good", "good", "bad"], [""]]
+
+
+def test_keyword_tokens_follow_the_token_rule(values):
+    import re
+
+    alphabet = ["a", "B", " ", " ", "\t", "\x01", "\n", "\x0b", "_", "é"]
+    picker = random.Random(7)
+    cases = ["".join(picker.choices(alphabet, k=picker.randint(0, 14))) for _ in range(300)]
+    blanks = "".join(chr(c) for c in range(33))
+
+    def rule(line):
+        parts = [p.strip(blanks).lower() for p in re.split(r"[ \t\n\x0b\f\r]+", line)]
+        return [p for p in parts if p]
+
+    def nonempty(t):
+        return F.filter(text.keyword_tokens(t), lambda w: w != "")
+
+    assert values(cases, nonempty) == [rule(c) for c in cases]
+
+
+def test_first_sentence(values):
+    assert values(["", "One two. Three", " one two ", None], text.first_sentence_words) == [
+        None,
+        ["One", "two"],
+        ["one", "two"],
+        None,
+    ]
+
+
+def test_cleaned_text_is_one_sentence(values):
+    picker = random.Random(3)
+    alphabet = "abcXYZ019"
+    cases = [
+        " ".join("".join(picker.choices(alphabet, k=picker.randint(1, 6))) for _ in range(picker.randint(1, 30)))
+        for _ in range(200)
+    ]
+    assert values(cases, text.first_sentence_words) == [c.split(" ") for c in cases]
+
+
+@pytest.mark.parametrize("word", ["it's", "back\\slash", "plain", "’"])
+def test_sql_literals(spark, word):
+    assert spark.range(1).selectExpr(f"array({text.sql_literals([word])})[0] as w").first()["w"] == word
