@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from postmill import schemas
+from postmill.operators import sentiment
+from tests.conftest import plan_of
+
+ENTRIES = [("good", 3.0), ("bad", -3.0), ("no fun", -3.0), ("self-deluded", -2.0), ("Loud", 1.0), ("dont", 1.0), ("tricky", None)]
+
+
+@pytest.fixture
+def lexicon(spark):
+    return spark.createDataFrame(ENTRIES, schemas.LEXICON)
+
+
+def messages(spark, bodies):
+    return spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "id int, body string")
+
+
+BODIES = ["good good bad", "no fun", "", None, "GOOD, Bad-good", "loud Loud", "don't", "dont tricky"]
+EXPECTED = [1.0, 0.0, 0.0, None, 1.0, 0.0, 0.0, 1.0]
+
+
+@pytest.mark.parametrize("score", [sentiment.score_messages, sentiment.score_messages_by_join])
+def test_scores(spark, lexicon, score):
+    scored = score(messages(spark, BODIES), lexicon, ["id"])
+    assert scored.schema["sentiment"].dataType.typeName() == "float"
+    assert scored.columns == ["id", "body", "sentiment"]
+    assert [r["sentiment"] for r in scored.orderBy("id").collect()] == EXPECTED
+
+
+@pytest.mark.parametrize("score", [sentiment.score_messages, sentiment.score_messages_by_join])
+def test_scores_against_plain_rule(spark, score):
+    picker = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(40)]
+    entries = [(w, float(picker.randint(-5, 5))) for w in vocabulary[:25]]
+    known = dict(entries)
+    bodies = [" ".join(picker.choices(vocabulary, k=picker.randint(0, 60))) for _ in range(100)]
+
+    def rule(body):
+        hits = [known[t] for t in re.sub(r"\W", " ", body).lower().split(" ") if t in known]
+        return sum(hits) / len(hits) if hits else 0.0
+
+    lexicon = spark.createDataFrame(entries, schemas.LEXICON)
+    got = score(messages(spark, bodies), lexicon, ["id"]).orderBy("id").collect()
+    assert [r["sentiment"] for r in got] == pytest.approx([rule(b) for b in bodies], abs=1e-6)
+    assert all(-5 <= r["sentiment"] <= 5 for r in got)
+
+
+def test_empty_lexicon(spark, lexicon):
+    scored = sentiment.score_messages(messages(spark, BODIES), lexicon.limit(0), ["id"])
+    assert [r["sentiment"] for r in scored.orderBy("id").collect()] == [None if b is None else 0.0 for b in BODIES]
+
+
+def test_small_lexicon_needs_no_shuffle_and_a_large_one_is_joined(spark, lexicon, monkeypatch):
+    frame = messages(spark, BODIES)
+    inline = plan_of(sentiment.score_messages(frame, lexicon, ["id"]))
+    assert "Exchange" not in inline and "Join" not in inline and "Python" not in inline
+    monkeypatch.setattr(sentiment, "INLINE_WORDS", 2)
+    joined = sentiment.score_messages(frame, lexicon, ["id"])
+    assert "Join" in plan_of(joined)
+    assert [r["sentiment"] for r in joined.orderBy("id").collect()] == EXPECTED
+
+
+def test_hot_word_is_split_without_broadcast(spark, lexicon):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = sentiment.score_messages_by_join(messages(spark, ["good"] * 500), lexicon, ["id"])
+        assert "salt" in plan_of(scored)
+        assert scored.agg(F.sum("sentiment")).first()[0] == 1500.0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lexicon_example(spark):
+    lexicon = spark.createDataFrame([("good", 3.0), ("rainy", -1.0)], schemas.LEXICON)
+    scored = sentiment.score_messages(
+        messages(spark, ["Rainy day but still in a good mood"]), lexicon, ["id"]
+    )
+    # the sum of the matched scores is 2, the score is their mean
+    assert scored.first()["sentiment"] == 1.0
+
+
+def test_cells(spark, lexicon):
+    frame = spark.createDataFrame([("a", 7, "good"), ("b", 8, None)], "`from` string, ts bigint, body string")
+    scored = sentiment.score_messages(frame, lexicon, ["from", "ts"])
+    cells = sentiment.sentiment_cells(scored, ["from", "ts"], F.lit(99))
+    assert [r.asDict() for r in cells.collect()] == [{"from": "a", "message_ts": 7, "ts": 99, "value": 3.0}]
+    now = sentiment.sentiment_cells(scored, ["from", "ts"]).first()["ts"]
+    assert now > 1_700_000_000_000
