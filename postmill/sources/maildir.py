@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 IGNORED_FILES = [".DS_Store"]
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def _depth(path: Column) -> Column:
+    """Number of names in a path, without scheme and host."""
+    return F.size(F.split(F.btrim(F.regexp_replace(path, SCHEME, ""), F.lit("/")), "/+"))
 
 
 def read_maildir(spark: SparkSession, root: str, max_depth: int = 64) -> DataFrame:
     """``(path, value)`` of every file below ``root``, at any depth.
 
-    Spark's recursive listing leaves out folders whose name starts with ``_`` or
-    ``.``, such as ``_sent_mail``.  A pattern that names the folder keeps it, so
-    the levels are read with one pattern for every second level: the pattern
-    matches the files of its own level, and the files in the folders it
-    matches are those of the next.
+    ``root`` is an absolute path or a URI.  Spark's recursive listing leaves out
+    folders whose name starts with ``_`` or ``.``, such as ``_sent_mail``.  A
+    pattern that names the folder keeps it, so the levels are read with one
+    pattern for every second level, and each pattern gives the files of its own
+    level and of the next.  That condition is on the file path alone, so it
+    prunes the file list and every file is read once.
 
     Known limit: Spark never reads a *file* whose own name starts with ``_`` or
     ``.``.
@@ -26,24 +34,24 @@ def read_maildir(spark: SparkSession, root: str, max_depth: int = 64) -> DataFra
     One small file per message is a poor layout for a large corpus; read it
     once and store the imported table.
     """
-    levels = []
+    bare = re.sub(SCHEME, "", root)
+    if not bare.startswith("/"):
+        raise ValueError("root must be an absolute path or a URI")
+    depth = len([name for name in bare.split("/") if name])
     pattern = root.rstrip("/") + "/*"
-    for _ in range(0, max_depth, 2):
+    levels = []
+    for level in range(1, max_depth + 1, 2):
         try:
-            level = spark.read.text(pattern, wholetext=True)
+            # The recursive lookup also keeps a folder such as year=2001 from being read as a column.
+            files = spark.read.text(pattern, wholetext=True, recursiveFileLookup=True)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             break
-        levels.append(
-            level.select(
-                F.col("_metadata.file_path").alias("path"),
-                "value",
-                F.col("_metadata.file_name").alias("name"),
-            )
-        )
+        path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+        own = _depth(path).between(depth + level, depth + level + 1) & ~name.isin(IGNORED_FILES)
+        levels.append(files.filter(own).select(path.alias("path"), "value"))
         pattern += "/*/*"
     if not levels:
         raise FileNotFoundError(f"no message below {root}")
-    files = reduce(DataFrame.unionByName, levels)
-    return files.filter(~F.col("name").isin(IGNORED_FILES)).drop("name")
+    return reduce(DataFrame.unionByName, levels)

@@ -154,3 +154,11 @@ def test_tables_are_created_from_the_schemas(spark):
     finally:
         for name in names:
             spark.sql(f"drop table {name}")
+
+
+def test_root_forms(spark, mail_root):
+    root, files = mail_root
+    for form in (f"{root}/", f"file:{root}", f"file://{root}"):
+        assert maildir.read_maildir(spark, form).count() == len(files)
+    with pytest.raises(ValueError):
+        maildir.read_maildir(spark, "maildir")
