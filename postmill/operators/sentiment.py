@@ -96,8 +96,9 @@ def score_messages_by_join(
     """The same scores for a lexicon of any size.
 
     Tokens are counted inside each message first; every word is then split over
-    ``SALTS`` parts, as one word may be in every message.  Spark broadcasts the
-    lexicon only if its measured size allows.
+    ``SALTS`` parts, as one word may be in every message.  The merge join keeps
+    either side from being broadcast on an estimate: that of exploded words is
+    too low for long texts.
     """
     counts = terms.run_lengths(
         messages.select(*keys, F.sort_array(text.sentiment_tokens(F.col(body))).alias("words")), keys
@@ -105,7 +106,7 @@ def score_messages_by_join(
     salted = counts.withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
     spread = matchable(lexicon).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     totals = (
-        salted.join(spread, ["word", "salt"])
+        salted.join(spread.hint("merge"), ["word", "salt"])
         .groupBy(*keys)
         .agg(
             F.sum(F.col("score") * F.col("tf")).alias("__total"),

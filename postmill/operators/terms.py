@@ -167,6 +167,10 @@ def join_by_share(
     are joined by broadcast: at most ``limit`` short keys.  Only the others are
     shuffled, and none of those holds more than 1/``limit`` of the rows.  All
     columns of ``per_key`` but the key are added to ``facts``.
+
+    The shuffled part asks for a merge join: Spark's size estimate of exploded
+    words follows the number of texts, not their length, and must not decide
+    for a broadcast.
     """
     added = [c for c in per_key.columns if c != key]
     large, small = split_by_share(per_key, share, limit)
@@ -174,7 +178,7 @@ def join_by_share(
     keyed = facts.withColumn("__key", _short_key(F.col(key)))
     near = keyed.join(large, "__key").select(*facts.columns, *added)
     far = keyed.join(large.select("__key"), "__key", "left_anti").drop("__key")
-    return near.unionByName(far.join(small, key).select(*facts.columns, *added))
+    return near.unionByName(far.join(small.hint("merge"), key).select(*facts.columns, *added))
 
 
 def word_scores(

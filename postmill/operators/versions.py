@@ -21,17 +21,14 @@ SPREAD = 64
 
 
 def key_for_target(messages: DataFrame, target: str) -> DataFrame:
-    """Add the key columns and the ``date`` cell of the target table.
+    """Add the sender key of the target table.
 
     ``emails`` is keyed by (from, ts); ``employee`` by the sender alone, with
     ``ts`` as the version of its cells.  Another target raises ``ValueError``.
     """
     if target not in TARGETS:
         raise ValueError(f"unsupported table: {target!r}")
-    keyed = messages.withColumn("date", F.col("ts"))
-    if target == "employee":
-        keyed = keyed.withColumn("employee", F.col("from"))
-    return keyed
+    return messages.withColumn(TARGETS[target], F.col("from"))
 
 
 def upsert(cells: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:

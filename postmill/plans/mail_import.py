@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postmill.operators import messages, versions
 from postmill.schemas import MESSAGE_COLUMNS
+from postmill.sinks.tables import write_emails, write_table
 from postmill.sources.maildir import read_maildir
 
 
@@ -16,16 +18,17 @@ def table_keys(target: str) -> list[str]:
     return [versions.TARGETS[target], "ts"]
 
 
-def import_parsed(parsed: DataFrame, target: str = "emails") -> DataFrame:
+def merge_messages(accepted: DataFrame, target: str = "emails") -> DataFrame:
     """Good messages to the target table, one row per (sender, ts).
 
     Messages of one sender and time are merged cell by cell in path order.  The
-    merge is the only shuffle.
+    merge is the only shuffle.  The ``date`` cell is the message time itself and
+    needs no merge.
     """
     keys = table_keys(target)
-    keyed = versions.key_for_target(messages.accepted(parsed), target)
-    columns = [c for c in MESSAGE_COLUMNS if c not in keys]
-    return versions.upsert(keyed, keys, "path", columns)
+    cells = [c for c in MESSAGE_COLUMNS if c not in [*keys, "date"]]
+    merged = versions.upsert(versions.key_for_target(accepted, target), keys, "path", cells)
+    return merged.withColumn("date", F.col("ts")).select(*keys, *[c for c in MESSAGE_COLUMNS if c not in keys])
 
 
 def import_messages(
@@ -33,7 +36,7 @@ def import_messages(
 ) -> tuple[DataFrame, DataFrame]:
     """``(path, value)`` rows to the target table and the rejects."""
     parsed = messages.parse_messages(raw, profile)
-    return import_parsed(parsed, target), messages.rejected(parsed)
+    return merge_messages(messages.accepted(parsed), target), messages.rejected(parsed)
 
 
 def import_maildir(
@@ -41,3 +44,24 @@ def import_maildir(
 ) -> tuple[DataFrame, DataFrame]:
     """A folder of messages to the target table and the rejects."""
     return import_messages(read_maildir(spark, root), target, profile)
+
+
+def import_to_tables(
+    raw: DataFrame, folder: str, target: str = "emails", profile: str = messages.REFERENCE
+) -> DataFrame:
+    """Import into ``folder``: ``parsed``, the target table and ``rejects``; returns the tally.
+
+    The raw files are opened and parsed once: the merge, the rejects and the
+    tally read the stored ``parsed`` table, each only its own columns.
+    ``folder`` must be on storage that all executors share.
+    """
+    spark = raw.sparkSession
+    messages.parse_messages(raw, profile).write.parquet(f"{folder}/parsed")
+    parsed = spark.read.parquet(f"{folder}/parsed")
+    table = merge_messages(messages.accepted(parsed), target)
+    if target == "emails":
+        write_emails(table, f"{folder}/{target}")
+    else:
+        write_table(table, f"{folder}/{target}", sort_by=table_keys(target))
+    write_table(messages.rejected(parsed), f"{folder}/rejects")
+    return messages.import_tally(parsed)

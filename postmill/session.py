@@ -14,7 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Small message files are packed into one task by their open cost.
-    "spark.sql.files.openCostInBytes": str(1 << 20),
+    "spark.sql.files.openCostInBytes": str(1 << 18),
 }
 
 

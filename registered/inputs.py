@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postmill import schemas
 from postmill.functions import dates, text
-from postmill.operators import sentiment, versions
+from postmill.operators import sentiment
 from postmill.plans import mail_import
 
 DOMAIN = "corp.example.com"
@@ -71,20 +71,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
-    """The target table after the upsert."""
-    keys = mail_import.table_keys(target)
-    keyed = versions.key_for_target(messages(spark, sf_dir), target)
-    columns = [c for c in schemas.MESSAGE_COLUMNS if c not in keys]
-    return versions.upsert(keyed, keys, "path", columns)
-
-
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir, "emails")
+    return mail_import.merge_messages(messages(spark, sf_dir), "emails")
 
 
 def employee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir, "employee")
+    return mail_import.merge_messages(messages(spark, sf_dir), "employee")
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,6 +61,21 @@ def test_maildir_import(spark, mail_root):
     assert {r["body"] for r in table.collect()} >= {" body 4 ", " body 5 ", " body 8 "}
 
 
+@pytest.mark.parametrize("target", ["emails", "employee"])
+def test_import_into_a_folder(spark, mail_root, tmp_path, target):
+    root, files = mail_root
+    raw = maildir.read_maildir(spark, str(root))
+    out = str(tmp_path / "out")
+    tally = mail_import.import_to_tables(raw, out, target).first()
+    assert tuple(tally) == (len(files), len(files) - 1, 1)
+    stored = spark.read.parquet(f"{out}/{target}")
+    table, rejects = mail_import.import_messages(raw, target)
+    assert sorted(map(tuple, stored.select(*table.columns).fillna("").collect())) == sorted(
+        map(tuple, table.fillna("").collect())
+    )
+    assert spark.read.parquet(f"{out}/rejects").collect() == rejects.collect()
+
+
 def test_missing_folder(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         maildir.read_maildir(spark, str(tmp_path / "none"))

@@ -105,7 +105,7 @@ def test_counting_in_the_row_needs_no_shuffle(spark):
 def test_keyword_plan(spark):
     frame = emails(spark, ["one two", "two three"])
     plan = plan_of(keywords.message_keywords(frame, STOP))
-    assert "WindowGroupLimit" in plan
+    assert "WindowGroupLimit" in plan and "SortMergeJoin" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 

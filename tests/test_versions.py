@@ -90,7 +90,7 @@ def test_cells_of_a_table(spark):
 
 def test_targets(spark):
     frame = spark.createDataFrame([("s", 4)], "`from` string, ts bigint")
-    assert versions.key_for_target(frame, "emails").first().asDict() == {"from": "s", "ts": 4, "date": 4}
+    assert versions.key_for_target(frame, "emails").first().asDict() == {"from": "s", "ts": 4}
     assert versions.key_for_target(frame, "employee").first()["employee"] == "s"
     with pytest.raises(ValueError):
         versions.key_for_target(frame, "users")
