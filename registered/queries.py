@@ -313,7 +313,7 @@ def email_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select(
         F.col("fromStr.value").alias("from"),
         F.unix_millis("dateLong.ts").alias("ts"),
-        dates.week_index(F.to_date("dateLong.ts")).alias("weeknum"),
+        dates.week_index(dates.utc_date(F.unix_millis("dateLong.ts"))).alias("weeknum"),
         F.col("toStr.value").alias("to"),
         F.col("sentiment.value").alias("sentiment"),
     )
