@@ -63,13 +63,12 @@ def sentiment_tokens(body: Column) -> Column:
 def keyword_tokens(body: Column) -> Column:
     """Lower-case tokens between white space, each wide-trimmed (some may be empty).
 
-    A text whose only blanks are spaces, as every cleaned body, takes the plain
-    split.  Elsewhere a blank run that holds white space is the separator, so
-    that no token needs a trim of its own.
+    A text whose only blanks are spaces, as every cleaned body, takes a plain
+    split without any trim.
     """
     lower = F.lower(body)
-    other_blanks = F.split(wide_trim(lower), r"[\x00-\x20]*\s[\x00-\x20]*")
-    return F.when(body.rlike(r"[\x00-\x1f]"), other_blanks).otherwise(F.split(lower, " "))
+    trimmed = F.transform(F.split(lower, r"\s+"), wide_trim)
+    return F.when(body.rlike(r"[\x00-\x1f]"), trimmed).otherwise(F.split(lower, " "))
 
 
 def first_sentence_words(body: Column) -> Column:

@@ -16,6 +16,7 @@ from postmill.operators import terms
 # The lexicon goes into the plan as literals up to these sizes.
 INLINE_WORDS = 20_000
 INLINE_SCORES = 64
+INLINE_LENGTH = 64
 
 # Parts that one word is split into when the lexicon is joined.
 SALTS = 32
@@ -35,12 +36,17 @@ def matchable(lexicon: DataFrame) -> DataFrame:
 
 
 def _inline_lexicon(lexicon: DataFrame) -> dict[float, list[str]] | None:
-    """Words by score, or None if the lexicon is above the inline bound."""
-    rows = matchable(lexicon).limit(INLINE_WORDS + 1).collect()
+    """Words by score, or None if the lexicon is above an inline bound.
+
+    At most ``INLINE_WORDS`` + 1 words of ``INLINE_LENGTH`` + 1 characters reach the driver.
+    """
+    entry = F.substring("word", 1, INLINE_LENGTH + 1).alias("word")
+    rows = matchable(lexicon).select(entry, "score").limit(INLINE_WORDS + 1).collect()
     by_score: dict[float, list[str]] = {}
     for row in sorted(rows):
         by_score.setdefault(row["score"], []).append(row["word"])
-    if len(rows) > INLINE_WORDS or len(by_score) > INLINE_SCORES:
+    too_long = any(len(row["word"]) > INLINE_LENGTH for row in rows)
+    if too_long or len(rows) > INLINE_WORDS or len(by_score) > INLINE_SCORES:
         return None
     return by_score
 
@@ -60,7 +66,7 @@ def score_messages(
 
     Repeated tokens count each time.  A body without a known word scores 0.0; a
     null body has no score.  ``keys`` names the unique key, which the joined
-    route needs.
+    route needs.  The lexicon is read when the plan is built.
     """
     by_score = _inline_lexicon(lexicon)
     if by_score is None:

@@ -17,7 +17,7 @@ TARGETS = {"emails": "from", "employee": "employee"}
 # Up to this bound Spark cuts each partition to N rows per key before the
 # shuffle by itself (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
-SPREAD = 64
+SPREAD = 1024
 
 
 def key_for_target(messages: DataFrame, target: str) -> DataFrame:

@@ -191,6 +191,7 @@ select "from", ts, word, count(*) as tf from all_words
 where length(word) >= 3 and word not in (select word from stop)
 group by "from", ts, word""",
     "document_frequency": f"""with {_COUNTS} select word, df from frequency""",
+    "document_frequency_of_counts": f"""with {_COUNTS} select word, df from frequency""",
     "inverse_document_frequency": f"""with {_COUNTS} select word, round(idf, 6) as idf from idf""",
     "row_normalised_values": """
 with sums as (select user_id, sum(abs(value)) as total from events where value <> 0 group by user_id)

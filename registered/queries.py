@@ -111,12 +111,20 @@ def term_counts_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_counts(inputs.emails(spark, sf_dir), KEYS, "body", stop)
 
 
+def _frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return terms.message_frequency(inputs.emails(spark, sf_dir), "body", inputs.STOP_WORDS)
+
+
 def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _frequency(spark, sf_dir)
+
+
+def document_frequency_of_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.document_frequency(_counts(spark, sf_dir))
 
 
 def inverse_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idf = terms.inverse_document_frequency(terms.document_frequency(_counts(spark, sf_dir)))
+    idf = terms.inverse_document_frequency(_frequency(spark, sf_dir))
     return idf.select("word", F.round("idf", 6).alias("idf"))
 
 
@@ -338,6 +346,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         term_counts,
         term_counts_stop_table,
         document_frequency,
+        document_frequency_of_counts,
         inverse_document_frequency,
         row_normalised_values,
         imported_emails,

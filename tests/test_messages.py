@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 
 from postmill.operators import messages
@@ -137,6 +140,44 @@ def test_only_line_feeds_end_lines(parse):
     assert row["to"] is None
 
 
+def test_random_messages_against_a_line_by_line_rule(parse):
+    picker = random.Random(4)
+    lines = [
+        "To: x", "To:", "To:  \t", "To: y z ", " To: no", "to: no", "Subject: s:t", "Subject:\tq", "X-cc: c",
+        "X-bcc: b", "X-bcc:", "X-cc", "", "", " ", "\t", "it's text", "From: late@x", "a_b  c", "é: è",
+    ]
+    raws = []
+    for _ in range(300):
+        parts = picker.choices(lines, k=picker.randint(0, 12))
+        for line in BASE:
+            parts.insert(picker.randint(0, min(3, len(parts))), line)
+        raws.append("\n".join(parts) + picker.choice(["", "\n", "\n\n"]))
+
+    def rule(raw):
+        head, found = [], {}
+        every = raw.rstrip("\n").split("\n")
+        while every and every[0] != "":
+            head.append(every.pop(0))
+        for line in head:
+            name, colon, value = line.partition(":")
+            value = value.strip(" \t")
+            if colon and value and name not in found:
+                found[name] = value
+        body = "".join(line + "\n" for line in every) if "".join(every) else ""
+        body = re.sub(r"[^A-Za-z0-9_]+", " ", body.replace("'", ""))
+        missing = [
+            reason
+            for name, reason in [("Date", "no_date"), ("Message-ID", "no_id"), ("From", "no_from")]
+            if name not in found
+        ]
+        cc = found.get("X-bcc", found.get("X-cc"))
+        return found.get("From"), found.get("To"), found.get("Subject"), cc, body, (missing or [None])[0]
+
+    got = [tuple(r[c] for c in ["from", "to", "subject", "cc", "body", "reason"]) for r in parse(*raws)]
+    assert got == [rule(raw) for raw in raws]
+    assert {g[-1] for g in got} == {None, "no_date", "no_id", "no_from"}
+
+
 def test_tally(spark):
     frame = spark.createDataFrame([("a", text()), ("b", "junk")], "path string, value string")
     assert messages.import_tally(messages.parse_messages(frame)).first().asDict() == {

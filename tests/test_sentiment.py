@@ -67,6 +67,14 @@ def test_small_lexicon_needs_no_shuffle_and_a_large_one_is_joined(spark, lexicon
     assert [r["sentiment"] for r in joined.orderBy("id").collect()] == EXPECTED
 
 
+def test_long_entry_is_joined(spark):
+    lexicon = spark.createDataFrame([("good", 3.0), ("g" * 100, 1.0), ("g" * 101, 5.0)], schemas.LEXICON)
+    frame = messages(spark, ["good " + "g" * 100, "g" * 101])
+    scored = sentiment.score_messages(frame, lexicon, ["id"])
+    assert "Join" in plan_of(scored)
+    assert [r["sentiment"] for r in scored.orderBy("id").collect()] == [2.0, 5.0]
+
+
 def test_hot_word_is_split_without_broadcast(spark, lexicon):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
