@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postmill import schemas
 from postmill.functions import dates, text
 from postmill.operators import counting, messages, sentiment, terms, versions
 from postmill.plans import keywords, mail_import, reports
@@ -213,9 +214,9 @@ def latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten newest values per user.  Event times are unique per user."""
+    """The newest values per user, under the bound of the users table."""
     cells = versions.column_versions(inputs.table(spark, sf_dir, "events"), ["user_id"], "event_id", "value")
-    return versions.newest_versions(cells, ["user_id"], 10)
+    return versions.newest_versions(cells, ["user_id"], schemas.USERS_MAX_VERSIONS)
 
 
 def version_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
