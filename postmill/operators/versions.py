@@ -135,3 +135,17 @@ def select_cells(
     if max_versions is None:
         return wanted
     return newest_versions(wanted, [*keys, "column"], max_versions)
+
+
+def version_table(cells: DataFrame, keys: list[str], columns: list[str], max_versions: int) -> DataFrame:
+    """One row per key with an array of cells per column, newest first.
+
+    ``cells`` is the row form with a ``column`` field.  Each array holds at most
+    ``max_versions`` cells, and an absent column gives an empty array.
+    """
+    kept = select_cells(cells, keys, columns, max_versions)
+    arrays = [
+        F.sort_array(F.collect_list(F.when(F.col("column") == c, F.struct("ts", "value"))), asc=False).alias(c)
+        for c in columns
+    ]
+    return kept.groupBy(*keys).agg(*arrays)

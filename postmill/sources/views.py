@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postmill.operators import versions
+
 # Stored column -> name in the views, where reserved words are avoided.
 EMAIL_CELLS = {
     "mid": "mid",
@@ -43,3 +45,24 @@ def register_employee(employee: DataFrame, name: str = "employee") -> None:
     cluster.
     """
     cell_view(employee, EMPLOYEE_CELLS).createOrReplaceTempView(name)
+
+
+def register_employee_arrays(employee: DataFrame, max_versions: int, name: str = "employee") -> None:
+    """View of one row per sender with arrays of its newest cells, under a version bound.
+
+    For statements that use ``size(mid)`` and ``explode(toStr)``.  Counts are
+    those of the kept versions; use :func:`register_employee` for all of them.
+    """
+    columns = list(EMPLOYEE_CELLS)
+    cells = versions.all_versions(employee, ["employee"], "ts", columns)
+    table = versions.version_table(cells, ["employee"], columns, max_versions)
+
+    def arrays(column: str) -> Column:
+        return F.transform(
+            column, lambda cell: F.struct(F.timestamp_millis(cell.ts).alias("ts"), cell.value.alias("value"))
+        )
+
+    newest = F.get(arrays("from"), F.lit(0))
+    table.select(
+        *[(newest if c == "from" else arrays(c)).alias(view) for c, view in EMPLOYEE_CELLS.items()]
+    ).createOrReplaceTempView(name)

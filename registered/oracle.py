@@ -260,3 +260,23 @@ select doc_id, count(*) as n_words, max(word) as last_word from words where word
     "email_cells": f"""with {_SCORED}
 select "from", ts, cast({_WEEK.format(_EMAIL_DAY, 1999)} as integer) as weeknum, "to", sentiment from scored""",
 }
+ORACLE_SQL |= {
+    "top_senders_sql": ORACLE_SQL["top_senders_by_versions"],
+    "top_correspondents_sql": ORACLE_SQL["top_correspondents_by_versions"],
+    "words_by_sentiment_sql": ORACLE_SQL["words_by_sentiment"],
+    "chosen_cells": """
+select page_id as id, url as address from pages where page_id is not null and url is not null""",
+    "word_scores": f"""with {_COUNTS}
+select "from", ts, c.word, round(tf * idf, 6) as score
+from counts c join idf i on c.word = i.word where idf <> 0""",
+    "version_table": f"""with {_TURN_CELLS},
+ranked as (
+  select *, row_number() over (partition by conv_id, "column" order by ts desc) as rank from cells),
+kept as (select * from ranked where rank <= 4)
+select conv_id, cast(count(*) filter ("column" = 'role') as integer) as n_roles,
+  cast(count(*) filter ("column" = 'text') as integer) as n_texts,
+  arg_max(value, ts) filter ("column" = 'role') as newest_role,
+  min(ts) filter ("column" = 'text') as oldest_ts,
+  arg_min(value, ts) filter ("column" = 'text') as oldest_text
+from kept group by conv_id""",
+}

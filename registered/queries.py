@@ -129,6 +129,12 @@ def inverse_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idf.select("word", F.round("idf", 6).alias("idf"))
 
 
+def word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole scored matrix, before the cut to the best words."""
+    scores = terms.word_scores(_counts(spark, sf_dir), _frequency(spark, sf_dir), KEYS)
+    return scores.select("from", "ts", "word", F.round("score", 6).alias("score"))
+
+
 def row_normalised_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = inputs.table(spark, sf_dir, "events").select(
         F.col("user_id").alias("row"), F.col("event_id").alias("col"), "value"
@@ -227,6 +233,20 @@ def version_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def version_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of the four newest cells of two columns, shown by size and ends."""
+    cells = versions.all_versions(_turns(spark, sf_dir), CONVERSATION_KEYS, "turn", ["role", "text"])
+    table = versions.version_table(cells, CONVERSATION_KEYS, ["role", "text"], 4)
+    return table.select(
+        "conv_id",
+        F.size("role").alias("n_roles"),
+        F.size("text").alias("n_texts"),
+        F.col("role")[0]["value"].alias("newest_role"),
+        F.element_at("text", -1)["ts"].alias("oldest_ts"),
+        F.element_at("text", -1)["value"].alias("oldest_text"),
+    )
+
+
 def version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.version_counts(_text_cells(spark, sf_dir), CONVERSATION_KEYS)
 
@@ -316,6 +336,48 @@ def document_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chosen_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of a stored table under new names."""
+    return tables.read_cells(spark, f"{sf_dir}/pages.parquet", {"page_id": "id", "url": "address"})
+
+
+def top_senders_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The question as a statement over the view of all versions."""
+    views.register_employee(inputs.employee(spark, sf_dir), "postmill_employee")
+    return spark.sql(
+        """
+        select fromStr.value as `from`, count(mid) as count from postmill_employee
+        group by fromStr.value order by count desc, `from` limit 10
+        """
+    )
+
+
+def top_correspondents_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views.register_employee(inputs.employee(spark, sf_dir), "postmill_employee")
+    return spark.sql(
+        """
+        select `from`, trim(part) as `to`, count(1) as count
+        from (select fromStr.value as `from`, toStr.value as line from postmill_employee
+              where toStr is not null) lines
+        lateral view explode(split(line, ',')) parts as part
+        group by `from`, trim(part) order by count desc, `from`, `to` limit 10
+        """
+    )
+
+
+def words_by_sentiment_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views.register_emails(inputs.scored(spark, sf_dir), "postmill_emails")
+    return spark.sql(
+        f"""
+        select lword as word, round(sum(sentiment), 6) as totalsentiment from (
+          select lower(word) as lword, sentiment.value as sentiment from postmill_emails
+          lateral view explode(get(sentences(body.value), 0)) words as word
+          where regexp_replace(fromStr.value, ".*@", "") == "{inputs.DOMAIN}") found
+        group by lword order by totalsentiment, word
+        """
+    )
+
+
 def email_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cell view, read back through struct fields."""
     cells = views.cell_view(inputs.scored(spark, sf_dir), views.EMAIL_CELLS)
@@ -349,6 +411,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         document_frequency,
         document_frequency_of_counts,
         inverse_document_frequency,
+        word_scores,
         row_normalised_values,
         imported_emails,
         imported_emails_intended,
@@ -362,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_versions,
         newest_versions,
         version_arrays,
+        version_table,
         version_counts,
         version_timestamps,
         value_at_version,
@@ -374,6 +438,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         domain_messages,
         page_hosts,
         document_sentences,
+        chosen_cells,
+        top_senders_sql,
+        top_correspondents_sql,
+        words_by_sentiment_sql,
         email_cells,
     ]
 }

@@ -150,3 +150,29 @@ def test_sample_statements_run_on_the_views(spark, emails, employee):
     finally:
         spark.catalog.dropTempView("emails_view")
         spark.catalog.dropTempView("employee_view")
+
+
+def test_sample_statements_run_on_bounded_arrays(spark, emails, employee):
+    views.register_employee_arrays(employee.withColumn("subject", F.lit("s")), 100, "employee_arrays")
+    try:
+        counts = spark.sql(
+            """
+            select fromStr.value as fromStr, size(mid) as count from employee_arrays
+            order by count desc, fromStr limit 10
+            """
+        )
+        assert rows(counts) == rows(reports.top_senders(emails))
+        pairs = spark.sql(
+            """
+            select fromStr, trim(splitToStr) as toStr, count(1) as count
+            from (select fromStr.value as fromStr, toLine.value as toLine
+                  from employee_arrays lateral view explode(toStr) tos as toLine) sq
+            lateral view explode(split(toLine, ',')) tol as splitToStr
+            group by fromStr, trim(splitToStr) order by count desc, fromStr, toStr limit 10
+            """
+        )
+        assert rows(pairs) == rows(reports.top_correspondents_by_versions(employee))
+        newest = spark.sql("select mid[0].value from employee_arrays where fromStr.value = 'a@corp.com'")
+        assert rows(newest) == [("m3",)]
+    finally:
+        spark.catalog.dropTempView("employee_arrays")

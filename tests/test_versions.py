@@ -88,6 +88,17 @@ def test_cells_of_a_table(spark):
     assert rows(versions.select_cells(every, ["key"], ["p", "q"], 1)) == rows(every)
 
 
+def test_version_table(spark):
+    table = spark.createDataFrame(
+        [("a", 1, "x1", None), ("a", 2, "x2", "y2"), ("a", 3, "x3", None)],
+        "key string, version bigint, p string, q string",
+    )
+    cells = versions.all_versions(table, ["key"], "version", ["p", "q"])
+    [row] = versions.version_table(cells, ["key"], ["p", "q"], 2).collect()
+    assert [tuple(c) for c in row["p"]] == [(3, "x3"), (2, "x2")]
+    assert [tuple(c) for c in row["q"]] == [(2, "y2")]
+
+
 def test_targets(spark):
     frame = spark.createDataFrame([("s", 4)], "`from` string, ts bigint")
     assert versions.key_for_target(frame, "emails").first().asDict() == {"from": "s", "ts": 4}
