@@ -94,7 +94,9 @@ def term_counts(
 
 
 def _frequency(words: DataFrame) -> DataFrame:
-    return words.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("df"))
+    # Declared as never null, as in run_lengths.
+    word = F.coalesce("word", F.lit("")).alias("word")
+    return words.select(word).groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("df"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -108,7 +110,7 @@ def message_frequency(
     """The same from the messages themselves, without counting inside each message."""
     words = message_words(messages, [], body, _stop_list(stop_words))
     word = F.explode(F.array_distinct("words")).alias("word")
-    frequency = _frequency(words.select(word).select(F.coalesce("word", F.lit("")).alias("word")))
+    frequency = _frequency(words.select(word))
     return _without(frequency, stop_words) if isinstance(stop_words, DataFrame) else frequency
 
 

@@ -84,6 +84,17 @@ def test_same_result_from_stored_counts(spark, tmp_path):
     assert as_dict(keywords.keywords_of_counts(stored)) == as_dict(keywords.message_keywords(frame, STOP))
 
 
+def test_branches_share_one_frequency_shuffle(spark, tmp_path):
+    frame = emails(spark, ["one two two three", "two three four five"] * 20)
+    path = str(tmp_path / "counts")
+    terms.term_counts(frame, ["from", "ts"], "body", STOP).write.parquet(path)
+    best = keywords.keywords_of_counts(spark.read.parquet(path))
+    best.collect()
+    final = plan_of(best).split("+- == Initial Plan ==")[0]
+    shuffles = [line for line in final.splitlines() if "Exchange hashpartitioning(word" in line]
+    assert any("ReusedExchange" in line for line in shuffles)
+
+
 def test_stop_words_as_a_table(spark):
     frame = emails(spark, ["apple apple pear", "apple the of"])
     table = spark.createDataFrame([("the",), ("pear",), ("pear",)], "w string")
