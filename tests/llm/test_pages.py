@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import html
+import re
+
+import pytest
+
+from postmill.llm import pages, queries
+from tests.conftest import SMALL
+
+LONG = "This is a paragraph of running text that is long enough to make the window sum surge, and then some more."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (None, ""),
+        ("", ""),
+        ("plain &lt;text&gt;\n of  one&nbsp;block", "plain <text> of one block"),
+        ("<p>a < b</p><p>c<br>d</p>", "a < b\nc d"),
+        ("<nav><a href=x>Home</a></nav>", ""),
+        (f"<body><header>Site</header><div><h1>Title</h1><p>{LONG}<p>Short.</div><footer>f</footer>", f"Title\n{LONG}\nShort."),
+        (f"<div class='cookie-notice'>We use cookies</div><p>{LONG}</p><div id=comments><p>First!</p></div>", LONG),
+        (f"<ul><li><a href=a>One</a><li><a href=b>Two</a></ul><p>{LONG}</p><p>© 2020 Someone</p>", LONG),
+        ("<article><h1>T</h1><p>Be.</p><aside>x</aside><form><input><label>l</label></form><p>So.</p></article><p>out", "T\nBe.\nSo."),
+        (f"<div class=ad>Buy<article><p>{LONG}</p></article>", LONG),
+        ("<article><script>var t='</p>';</script><style>p{}</style><p>x<!-- no --> y</p><p hidden>z</p></article>", "x y"),
+        ("<article><p>cut off <b>here", "cut off here"),
+        ("<article><header><h1>Own title</h1></header><p>Text</p></article>", "Own title\nText"),
+        ("<p>&am; &amp; &#233; &bogus;</p>", "&am; & é &bogus;"),
+    ],
+)
+def test_pages(page, text):
+    assert pages.main_text(page) == text
+
+
+def test_long_and_hostile_pages_end():
+    assert pages.main_text("<article>" + "<p>word</p>" * 20_000 + "</article>").count("\n") == 19_999
+    for piece in ("<a ", "<!--", "<div class='", "<b>", "&", "<script>", "</p>"):
+        pages.main_text(piece * 5_000)
+
+
+def test_query(spark):
+    source = {r["page_id"]: r for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+    rows = queries.op10_html_extraction(spark, SMALL).collect()
+    assert len(rows) == len(source)
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", source[r["page_id"]]["html"], re.S)[1]
+        blocks = re.split(r"</?(?:p|h1)>", article)
+        blocks = [" ".join(html.unescape(re.sub(r"<[a-z/][^<>]*>", " ", b)).split()) for b in blocks]
+        assert r["text"] == "\n".join(b for b in blocks if b)
+        assert r["n_chars"] == len(r["text"]) and r["url"] == source[r["page_id"]]["url"]
+
+
+def test_repeated_rows_clashes_and_empty_table(spark):
+    frame = spark.createDataFrame([(1, "<p>x", "mine")] * 2, "page_id long, html string, text string")
+    assert [r["text"] for r in pages.with_main_text(frame).collect()] == ["x", "x"]
+    assert pages.with_main_text(frame.limit(0)).collect() == []

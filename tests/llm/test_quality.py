@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from postmill.llm import quality, queries, trees
+from tests.conftest import SMALL
+
+
+def test_flat_trees_learn_a_rule():
+    rng = np.random.default_rng(1)
+    x = rng.random((3000, 4))
+    y = ((x[:, 0] > 0.6) ^ (x[:, 2] > 0.3)).astype(float)
+    forest = trees.fit(x[:2000], y[:2000])
+    assert ((forest.score(x[2000:]) >= 0.5) == y[2000:]).mean() > 0.95
+
+
+@pytest.mark.parametrize("y", [[], [1.0, 1.0], [0.0]])
+def test_no_rows_or_one_class(y):
+    forest = trees.fit(np.zeros((len(y), 3)), np.array(y))
+    score = forest.score(np.zeros((2, 3)))
+    assert len(score) == 2 and ((score > 0) & (score < 1)).all()
+
+
+def test_statistics_do_not_depend_on_the_batch(monkeypatch):
+    texts = ["", None, "One two.", "A" * 5000, "é\n\nb | c!!", " ", "x y z " * 900]
+    whole = quality.statistics(pa.array(texts))
+    monkeypatch.setattr(quality, "PART_BYTES", 10)
+    assert np.allclose(whole, quality.statistics(pa.array(texts)))
+    assert np.allclose(whole[3], quality.statistics(pa.array([texts[3]]))[0])
+    assert np.isfinite(whole).all() and quality.statistics(pa.array([], pa.string())).shape == (0, whole.shape[1])
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = {r["doc_id"]: r for r in queries.op6_quality(spark, sf).collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    held = [i for i in labels if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert all(rows[i]["held_out"] for i in held)
+    assert np.mean([rows[i]["predicted"] == labels[i] for i in held]) > 0.95
+
+
+def test_held_out_labels_do_not_matter(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    turned = labels.selectExpr("doc_id", "case when crc32(cast(doc_id as string)) % 4 = 2 then 1 - quality else quality end as quality")
+    a, b = quality.fit_model(docs, labels), quality.fit_model(docs, turned)
+    assert np.array_equal(a.value, b.value) and np.array_equal(a.threshold, b.threshold)
+
+
+def test_odd_rows(spark):
+    rows = [(None, None, 1.0), (1, "", 2.0), (2, "word " * 50_000, 3.0), (2, "word " * 50_000, 3.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(None, 1), (1, None), (2, 1), (9, 0)], "doc_id long, quality int")
+    model = quality.fit_model(docs, labels)
+    out = quality.with_score(docs, model).collect()
+    assert len(out) == 4 and all(0 <= r["score"] <= 1 for r in out)
+    assert quality.with_score(docs.limit(0), model).collect() == []
+    assert quality.accepted(docs, model, threshold=0.0).columns == docs.columns
+    empty = quality.fit_model(docs.limit(0), labels.limit(0))
+    assert quality.accepted(docs, empty, threshold=0.0).count() == 4

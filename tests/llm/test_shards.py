@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+from collections import Counter
+
+from postmill.llm import queries, shards
+from tests.conftest import SMALL
+from tests.llm import brute
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    rows = queries.op2_slot_shards(spark, SMALL).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    held = Counter()
+    for r in rows:
+        data = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"]) == (len(data) + 1, brute.crc(data))
+        held[r["shard"]] += r["size"]
+    assert set(held) == set(range(8))
+    assert max(held.values()) - min(held.values()) <= max(r["size"] for r in rows)
+    for shard in range(8):
+        places = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert places == list(range(len(places)))
+
+
+def test_a_slot_is_in_one_shard_and_stays_when_nothing_changes(spark):
+    sizes = {s: (s * 7919) % 1000 + 1 for s in range(64)}
+    mapping = shards.balance(sizes, 8, 64)
+    assert shards.rebalance(mapping, sizes, 8) == mapping
+    grown = shards.rebalance(mapping, sizes, 9)
+    moved = [s for s in range(64) if grown[s] != mapping[s]]
+    assert moved and all(grown[s] == 8 for s in moved)
+    held = Counter()
+    for s, shard in enumerate(grown):
+        held[shard] += sizes[s]
+    assert held[8] > 0.7 * sum(held.values()) / 9
+    shrunk = shards.rebalance(mapping, sizes, 5)
+    assert set(shrunk) == set(range(5))
+
+
+def test_versions_of_the_map(spark, tmp_path):
+    first, second = [0, 1, 0, 1], [0, 1, 2, 1]
+    shards.save_map(spark, first, 1, str(tmp_path))
+    shards.save_map(spark, second, 2, str(tmp_path))
+    assert shards.load_map(spark, str(tmp_path), 1) == first
+    assert shards.load_map(spark, str(tmp_path), 2) == second
+
+
+def test_odd_rows(spark):
+    rows = [(None, None), (1, ""), (1, ""), (2, "é" * 100_000), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'mine' as shard", "1 as size")
+    mapping = shards.balance(shards.collect_sizes(docs), 8)
+    out = shards.with_positions(shards.assign(docs, mapping), 8).collect()
+    assert sorted((r["size"] for r in out)) == [1, 1, 1, 1, 200_001]
+    for shard in {r["shard"] for r in out}:
+        places = sorted(r["position"] for r in out if r["shard"] == shard)
+        assert places == list(range(len(places)))
+    empty = docs.limit(0)
+    assert shards.with_positions(shards.assign(empty, shards.balance({}, 8)), 8).collect() == []
