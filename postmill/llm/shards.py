@@ -57,8 +57,8 @@ def rebalance(mapping: Sequence[int], sizes: dict[int, int], shards: int, slack:
     """The map for another number of shards, or for slots that have grown, with few moves.
 
     Slots of removed shards go to the shard with the fewest bytes.  Then slots move
-    from shards above the mean to shards below it, by ``slack`` of the mean at least;
-    so a new shard takes slots, and old shards exchange none.
+    from shards above the mean to shards below it, by ``slack`` of the mean at least.
+    If there are new shards, slots move to these alone.
     """
     out = list(mapping)
     held = [0] * shards
@@ -71,9 +71,10 @@ def rebalance(mapping: Sequence[int], sizes: dict[int, int], shards: int, slack:
             out[slot] = min(range(shards), key=lambda s: (held[s], s))
             held[out[slot]] += sizes.get(slot, 0)
     mean = sum(held) / shards
+    targets = range(max(mapping, default=-1) + 1, shards) or range(shards)
     for slot in by_size:
         size, source = sizes.get(slot, 0), out[slot]
-        target = min(range(shards), key=lambda s: (held[s], s))
+        target = min(targets, key=lambda s: (held[s], s))
         if (
             size
             and held[source] > mean * (1 + slack)
