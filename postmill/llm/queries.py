@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontamination, packing, pages, quality, secret_scans, shards, urls
+from postmill.llm import decontamination, packing, pages, quality, secret_scans, shards, simhash, urls
 from postmill.llm.common import read_table
 
 URL_RULES = [
@@ -98,6 +98,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_groups(docs).select(
+        "doc_id", simhash.hex_digits(F.col("simhash")).alias("fingerprint"), "component_id"
+    )
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return pages.with_main_text(source).select(
@@ -114,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_packing,
         op5_decontamination,
         op6_quality,
+        op9_simhash,
         op10_html_extraction,
     )
 }

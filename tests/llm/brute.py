@@ -83,3 +83,30 @@ def leaks(docs: dict, items: list, window: int = 10):
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
+
+
+def simhash(text, shingle=3):
+    import xxhash
+
+    found = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(text or ""))
+    if not found:
+        return 0
+    size = min(shingle, len(found))
+    hashes = [xxhash.xxh64_intdigest(" ".join(found[i : i + size]), 42) for i in range(len(found) - size + 1)]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def classes(prints: dict, bits: int = 2) -> dict:
+    """Smallest key that a chain of values at ``bits`` or fewer differing bits reaches."""
+    least = {}
+    for key in sorted(prints):
+        if key in least:
+            continue
+        least[key], todo = key, [key]
+        while todo:
+            at = todo.pop()
+            for other in prints:
+                if other not in least and (prints[at] ^ prints[other]).bit_count() <= bits:
+                    least[other] = key
+                    todo.append(other)
+    return least
