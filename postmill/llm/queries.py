@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontamination, packing, pages, quality, secret_scans, shards, simhash, urls
+from postmill.llm import (
+    ball_tree,
+    decontamination,
+    packing,
+    pages,
+    quality,
+    secret_scans,
+    shards,
+    simhash,
+    suffix_dedup,
+    urls,
+)
 from postmill.llm.common import read_table
 
 URL_RULES = [
@@ -98,6 +109,24 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", ball_tree.whole_numbers(F.col("embedding")).alias("embedding")
+    )
+    return ball_tree.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, span: n + span["length"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_groups(docs).select(
@@ -121,6 +150,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_packing,
         op5_decontamination,
         op6_quality,
+        op7_top_k,
+        op8_suffix_dedup,
         op9_simhash,
         op10_html_extraction,
     )

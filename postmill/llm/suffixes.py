@@ -64,19 +64,17 @@ def byte_keys(data: np.ndarray) -> np.ndarray:
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int) -> np.ndarray:
-    """For each place in ``order`` but the first, the bytes it shares with its predecessor.
+    """For each place in ``order``, the bytes it shares with its predecessor, up to ``most``.
 
-    Kasai's rule: the suffix one byte further shares at most one byte less, so each
-    segment (``starts`` to ``ends``) is walked in text order with a running length.
-    All segments walk in step, one lane each.  Lengths stop at ``most`` and at the
-    end of either segment.  ``order`` must hold every place of the segments.
+    Kasai's rule: the suffix one byte further shares at most one byte less, so a
+    stretch of text (``starts`` to ``ends``) is walked in text order with a running
+    length.  All stretches walk in step, one lane each.  They must cover ``data``, and
+    ``order`` must be sorted to the end: the rule does not hold among suffixes that
+    are left in the order of their places.
     """
     n = len(data)
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
-    limit = np.zeros(n, np.int64)
-    for_segment = np.repeat(ends, ends - starts)
-    limit[np.repeat(starts, ends - starts) + _within(starts, ends)] = for_segment
     words = byte_keys(data)
     shared = np.zeros(n, np.int64)
     lanes = np.argsort(starts - ends, kind="stable")  # longest first, so that finished lanes are a tail
@@ -90,7 +88,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, end
         at = starts[:alive] + step
         place = rank[at]
         before = order[np.maximum(place - 1, 0)]
-        bound = np.minimum(np.minimum(limit[at] - at, limit[before] - before), most)
+        bound = np.minimum(n - np.maximum(at, before), most)
         bound[place == 0] = 0
         length = np.minimum(np.maximum(running[:alive] - 1, 0), bound)
         moving = np.flatnonzero(length < bound)
@@ -105,11 +103,6 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, end
     return shared
 
 
-def _within(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    lengths = ends - starts
-    return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-
-
 def _leading_equal(differ: np.ndarray) -> np.ndarray:
     """Equal leading bytes of two eight-byte numbers, from their difference."""
     out = np.zeros(len(differ), np.int64)

@@ -110,3 +110,20 @@ def classes(prints: dict, bits: int = 2) -> dict:
                     least[other] = key
                     todo.append(other)
     return least
+
+
+def repeats(texts: list, length: int):
+    """Of each text, (bytes, removed spans, kept bytes)."""
+    from collections import Counter
+
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if seen[d[i : i + length]] > 1:
+                gone[i : i + length] = b"\x01" * length
+        spans = [(m.start(), m.end() - m.start()) for m in re.finditer(b"\x01+", bytes(gone))]
+        out.append((len(d), spans, bytes(b for b, g in zip(d, gone, strict=True) if not g)))
+    return out
