@@ -154,19 +154,50 @@ def _through_middles(prints: DataFrame, bits: int) -> DataFrame:
 def near_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS
 ) -> DataFrame:
-    """``doc_id``, ``simhash`` and ``component_id`` of every document.
+    """``doc_id``, ``simhash``, ``component_id`` and ``first_key`` of every document.
 
     ``component_id`` is the smallest id that a chain of links reaches, itself included;
     texts without words share the fingerprint 0 and are linked like any other.  A null
     id counts as no id: it is never the smallest unless there is no other.  Repeated
-    rows stay; an empty table has no groups.
+    rows stay; an empty table has no groups.  ``first_key`` is the :func:`row_key` of
+    one document of the group, which has the smallest id.
     """
-    prints = written(with_fingerprint(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")),
-                                      "text", "simhash", shingle).select("doc_id", "simhash"))
-    distinct = written(prints.groupBy(F.col("simhash").alias("x")).agg(F.min("doc_id").alias("first")))
+    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    prints = written(
+        with_fingerprint(source, "text", "simhash", shingle).select(
+            "doc_id", "simhash", row_key(F.col("doc_id"), F.col("text")).alias("key")
+        )
+    )
+    # Ids go first in the order of the struct, null ids last.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "key")).alias("first")
+    distinct = written(prints.groupBy(F.col("simhash").alias("x")).agg(first))
     reached = graph.components(links(distinct.select("x"), bits)).withColumnRenamed("node", "x")
-    classes = distinct.join(reached, "x", "left").select("x", "first", F.coalesce("component", "x").alias("class"))
-    classes = written(classes)
-    least = classes.groupBy("class").agg(F.min("first").alias("component_id"))
-    found = written(classes.join(least, "class").select(F.col("x").alias("simhash"), "component_id"))
-    return prints.join(found, "simhash").select("doc_id", "simhash", "component_id")
+    classes = written(
+        distinct.join(reached, "x", "left").select("x", "first", F.coalesce("component", "x").alias("class"))
+    )
+    least = written(classes.groupBy("class").agg(F.min("first").alias("first")))
+    found = written(
+        classes.select("x", "class")
+        .join(least, "class")
+        .select(F.col("x").alias("simhash"), F.col("first.doc_id").alias("component_id"), F.col("first.key").alias("first_key"))
+    )
+    return prints.join(found, "simhash").select("doc_id", "simhash", "component_id", "first_key")
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A 64-bit key of a document, by its id and text."""
+    return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
+
+
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS
+) -> DataFrame:
+    """The document of the smallest id of each group, with its own columns.
+
+    Of repeated rows one stays.  Should two documents share a key, both stay.
+    """
+    kept = written(near_groups(docs, doc_id, text, shingle, bits).select(F.col("first_key").alias("__key")).distinct())
+    columns = [f"`{c}`" for c in docs.columns]
+    keyed = docs.select(*columns, row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("__key"))
+    # Repeated rows alone share a key, but for chance: those are told apart by the id.
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key", doc_id]).select(*columns)
