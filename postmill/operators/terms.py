@@ -5,15 +5,21 @@ The (message, word, tf) triples are a sparse matrix, one row per non-zero.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from postmill.functions import text
 
 SHORTEST_WORD = 3
 TOP_WORDS = 10
 
+# A word's length counts characters beyond U+FFFF twice, as the original's strings do.
+WIDE = r"[\x{10000}-\x{10FFFF}]"
+
 # At most this many frequent words are joined by broadcast; see split_by_share.
 FREQUENT_WORDS = 100_000
 LONGEST_KEY = 64
@@ -31,7 +37,8 @@ def message_words(
 
     The stop words go into the plan as a hash set.
     """
-    keep = f"length(word) >= {SHORTEST_WORD}"
+    units = f"length(word) + regexp_count(word, r'{WIDE}')"
+    keep = f"(length(word) >= {SHORTEST_WORD} or {units} >= {SHORTEST_WORD})"
     if stop_words:
         keep += f" and word not in ({text.sql_literals(sorted(set(stop_words)))})"
     tokens = messages.select(*keys, text.keyword_tokens(F.col(body)).alias("tokens"))
@@ -124,7 +131,9 @@ def inverse_document_frequency(frequency: DataFrame) -> DataFrame:
     return frequency.select("word", F.log2(total / F.col("df")).alias("idf"))
 
 
-def row_l1_normalise(matrix: DataFrame, row: str, value: str = "value") -> DataFrame:
+def row_l1_normalise(
+    matrix: DataFrame, row: str, value: str = "value", limit: int = FREQUENT_WORDS
+) -> DataFrame:
     """Divide each value by the sum of the absolute values in its row.
 
     A sparse matrix holds no zero: zero and null values are left out.
@@ -135,18 +144,30 @@ def row_l1_normalise(matrix: DataFrame, row: str, value: str = "value") -> DataF
     sums = matrix.groupBy(row).agg(
         F.sum(F.abs(value)).alias("__sum"), F.count(F.lit(1)).alias("__share")
     )
-    joined = join_by_share(matrix, sums, row, "__share")
+    joined = join_by_share(matrix, sums, row, "__share", limit)
     return joined.select(*[F.col(c) if c != value else (F.col(c) / F.col("__sum")).alias(c) for c in matrix.columns])
 
 
-def _short_key(key: Column) -> Column:
-    """The key itself, or a digest if it is long; never null.
+def _short_key(frame: DataFrame, key: str, prefix: str) -> list[Column]:
+    """The key in a form of bounded length: the value itself, or a digest of a long text.
 
-    The leading blank keeps digests apart from words.
+    The first column tells digests from texts.
     """
-    name = key.cast("string")
-    short = F.when(F.length(name) > LONGEST_KEY, F.concat(F.lit(" "), F.sha2(name, 256))).otherwise(name)
-    return F.coalesce(short, F.lit(" "))
+    if not isinstance(frame.schema[key].dataType, StringType):
+        return [F.lit(False).alias(f"{prefix}long"), F.col(key).alias(f"{prefix}key")]
+    long = F.coalesce(F.length(key) > LONGEST_KEY, F.lit(False))
+    short = F.when(long, F.sha2(key, 256)).otherwise(F.col(key))
+    return [long.alias(f"{prefix}long"), short.alias(f"{prefix}key")]
+
+
+def _same(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
+    """Equality in which null equals null; the plain one where there can be no null."""
+
+    def equal(a: str, b: str) -> Column:
+        never_null = not (left.schema[a].nullable or right.schema[b].nullable)
+        return F.col(a) == F.col(b) if never_null else F.col(a).eqNullSafe(F.col(b))
+
+    return reduce(lambda a, b: a & b, [equal(a, b) for a, b in pairs.items()])
 
 
 def split_by_share(per_key: DataFrame, share: str, limit: int) -> tuple[DataFrame, DataFrame]:
@@ -168,7 +189,11 @@ def join_by_share(
     ``share`` counts the rows of each key in ``facts``.  Keys with a large share
     are joined by broadcast: at most ``limit`` short keys.  Only the others are
     shuffled, and none of those holds more than 1/``limit`` of the rows.  All
-    columns of ``per_key`` but the key are added to ``facts``.
+    columns of ``per_key`` but the key are added to ``facts``; they should be
+    numbers, as the broadcast is bounded by their width.
+
+    Keys are equal as in ``groupBy``, whichever way they are joined: null equals
+    null, and 0.0 equals -0.0.
 
     The shuffled part asks for a merge join: Spark's size estimate of exploded
     words follows the number of texts, not their length, and must not decide
@@ -176,11 +201,15 @@ def join_by_share(
     """
     added = [c for c in per_key.columns if c != key]
     large, small = split_by_share(per_key, share, limit)
-    large = F.broadcast(large.select(_short_key(F.col(key)).alias("__key"), *added))
-    keyed = facts.withColumn("__key", _short_key(F.col(key)))
-    near = keyed.join(large, "__key").select(*facts.columns, *added)
-    far = keyed.join(large.select("__key"), "__key", "left_anti").drop("__key")
-    return near.unionByName(far.join(small.hint("merge"), key).select(*facts.columns, *added))
+    columns, short = facts.columns, {"__long": "__near_long", "__key": "__near_key"}
+    keyed = facts.select("*", *_short_key(facts, key, "__"))
+    large = F.broadcast(large.select(*_short_key(large, key, "__near_"), *added))
+    near = keyed.join(large, _same(keyed, large, short)).select(*columns, *added)
+    names = large.select(*short.values())
+    far = keyed.join(names, _same(keyed, names, short), "left_anti").select(*columns)
+    others = small.select(F.col(key).alias("__far_key"), *added).hint("merge")
+    met = far.join(others, _same(far, others, {key: "__far_key"})).select(*columns, *added)
+    return near.unionByName(met)
 
 
 def word_scores(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import collections
+import datetime
 import math
 import random
 
@@ -148,3 +149,42 @@ def test_row_l1_normalise(spark):
     )
     got = sorted(map(tuple, terms.row_l1_normalise(matrix, "row").collect()))
     assert got == [(1, "a", 0.25), (1, "b", -0.75), (2, "a", 1.0)]
+
+
+KEYS_OF_EACH_KIND = {
+    "string": [None, " ", "", "a", "b" * 70, "b" * 71, "NaN"],
+    "double": [None, 0.0, -0.0, float("nan"), 1.5, float("inf")],
+    "bigint": [None, 0, -1, 7],
+    "date": [None, datetime.date(2001, 1, 1)],
+}
+
+
+@pytest.mark.parametrize("kind", list(KEYS_OF_EACH_KIND))
+def test_all_ways_of_the_join_have_one_equality(spark, kind):
+    keys = KEYS_OF_EACH_KIND[kind]
+    facts = spark.createDataFrame(
+        [(k, i * 10 + j) for i, k in enumerate(keys) for j in range(i + 1)], f"k {kind}, v bigint"
+    )
+    per_key = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
+    whole = None
+    for limit in (1, 3, 100_000):
+        joined = terms.join_by_share(facts, per_key, "k", "n", limit)
+        rows = sorted((r["v"], r["n"], r["total"]) for r in joined.collect())
+        assert len(rows) == facts.count()
+        assert whole is None or rows == whole
+        whole = rows
+
+
+@pytest.mark.parametrize("limit", [1, 100_000])
+def test_rows_with_null_keys_are_normalised(spark, limit):
+    matrix = spark.createDataFrame(
+        [(None, 1.0), (None, -3.0), (" ", 2.0), ("a", 0.0), ("a", None), ("b" * 90, 5.0)], "row string, value double"
+    )
+    rows = terms.row_l1_normalise(matrix, "row", limit=limit).collect()
+    assert sorted((str(r["row"])[:4], r["value"]) for r in rows) == [(" ", 1.0), ("None", -0.75), ("None", 0.25), ("bbbb", 1.0)]
+
+
+def test_length_of_words_counts_wide_characters_twice(spark):
+    frame = spark.createDataFrame([(1, "\U0001f600\U0001f600 \U0001f600 ab abc a\U0001f600")], "k int, body string")
+    counts = terms.term_counts(frame, ["k"], "body", [])
+    assert sorted(r["word"] for r in counts.collect()) == sorted(["\U0001f600\U0001f600", "abc", "a\U0001f600"])
