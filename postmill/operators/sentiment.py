@@ -7,6 +7,9 @@ above the inline bound is joined instead, with the same result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +21,10 @@ INLINE_WORDS = 20_000
 INLINE_SCORES = 64
 INLINE_LENGTH = 64
 
-# Parts that one word is split into when the lexicon is joined.
+# A joined lexicon of up to so many characters is broadcast.
+BROADCAST_CHARS = 32 << 20
+
+# Beyond that, parts that one word is split into, at least; see _salts.
 SALTS = 32
 
 
@@ -26,12 +32,15 @@ def matchable(lexicon: DataFrame) -> DataFrame:
     """Lexicon entries that can equal a token, one row per word.
 
     Tokens are lower-case ASCII word characters, so phrases, hyphenated and
-    accented entries never match and are left out.
+    accented entries never match and are left out; so are scores that are null or
+    not finite, which would make the score of every message that holds the word so.
     """
+    score = F.col("score").cast("double")
+    finite = F.abs(score) < float("inf")  # NaN is above all numbers
     return (
-        lexicon.filter(F.col("word").rlike(r"\A[a-z0-9_]+\z") & F.col("score").isNotNull())
+        lexicon.filter(F.col("word").rlike(r"\A[a-z0-9_]+\z") & finite)
         .groupBy("word")
-        .agg(F.max(F.col("score").cast("double")).alias("score"))
+        .agg(F.max(score).alias("score"))
     )
 
 
@@ -65,8 +74,8 @@ def score_messages(
     """Add the float column ``output``.
 
     Repeated tokens count each time.  A body without a known word scores 0.0; a
-    null body has no score.  ``keys`` names the unique key, which the joined
-    route needs.  The lexicon is read when the plan is built.
+    null body has no score.  Every row is scored by its own body, whether ``keys``
+    are unique or not.  The lexicon is read when the plan is built.
     """
     by_score = _inline_lexicon(lexicon)
     if by_score is None:
@@ -99,29 +108,47 @@ def score_messages_by_join(
     body: str = "body",
     output: str = "sentiment",
 ) -> DataFrame:
-    """The same scores for a lexicon of any size.
+    """The same scores for a lexicon of any size, up to the rounding of sums.
+
+    Tokens are counted inside each message first, and only those that the lexicon
+    knows are shuffled.  A message is known by its keys and two hashes of its body,
+    so rows that share keys do not mix, and equal rows have the same mean.  The body
+    itself is in no exchange unless the caller keeps it.
 
-    Tokens are counted inside each message first; every word is then split over
-    ``SALTS`` parts, as one word may be in every message.  The merge join keeps
-    either side from being broadcast on an estimate: that of exploded words is
-    too low for long texts.
+    A lexicon whose size has been checked is broadcast.  A larger one meets the
+    words in a merge join, each word split into parts, as one word may be in every
+    message; Spark's own estimate must not decide for a broadcast there, because
+    that of exploded words is too low for long texts.
     """
+    known = [*keys, "__b1", "__b2"]
+    hashes = {"__b1": F.xxhash64(body), "__b2": F.xxhash64(body, F.lit(1))}
     counts = terms.run_lengths(
-        messages.select(*keys, F.sort_array(text.sentiment_tokens(F.col(body))).alias("words")), keys
+        messages.withColumns(hashes).select(*known, F.sort_array(text.sentiment_tokens(F.col(body))).alias("words")),
+        known,
     )
-    salted = counts.withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
-    spread = matchable(lexicon).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    totals = (
-        salted.join(spread.hint("merge"), ["word", "salt"])
-        .groupBy(*keys)
-        .agg(
-            F.sum(F.col("score") * F.col("tf")).alias("__total"),
-            F.sum("tf").alias("__matches"),
-        )
+    entries = matchable(lexicon)
+    size = entries.agg(F.sum(F.length("word") + 16)).first()[0] or 0
+    if size <= BROADCAST_CHARS:
+        hits = counts.join(F.broadcast(entries), "word")
+    else:
+        salts = _salts(messages)
+        salted = counts.withColumn("salt", F.pmod(F.xxhash64(*known), F.lit(salts)).cast("int"))
+        spread = entries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        hits = salted.join(spread.hint("merge"), ["word", "salt"])
+    totals = hits.groupBy(*known).agg(
+        F.sum(F.col("score") * F.col("tf")).alias("__total"), F.sum("tf").alias("__matches")
     )
-    matches = F.coalesce(F.col("__matches"), F.lit(0))
-    score = F.when(F.col(body).isNotNull(), _mean_score(F.col("__total"), matches))
-    return messages.join(totals, keys, "left").select(*messages.columns, score.alias(output))
+    totals = totals.select(*[F.col(c).alias(f"__of_{c}") for c in known], "__total", "__matches")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in known])
+    rows = messages.withColumns({**hashes, "__any": F.col(body).isNotNull()})
+    mean = _mean_score(F.col("__total"), F.coalesce(F.col("__matches"), F.lit(0)))
+    kept = [c for c in messages.columns if c != output]
+    return rows.join(totals, same, "left").select(*kept, F.when(F.col("__any"), mean).alias(output))
+
+
+def _salts(messages: DataFrame) -> int:
+    """Parts of a word: they follow the number of shuffle partitions, which follows the data."""
+    return max(SALTS, int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
 
 
 def sentiment_cells(scored: DataFrame, keys: list[str], scored_at: Column | None = None) -> DataFrame:

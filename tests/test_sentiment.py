@@ -75,7 +75,8 @@ def test_long_entry_is_joined(spark):
     assert [r["sentiment"] for r in scored.orderBy("id").collect()] == [2.0, 5.0]
 
 
-def test_hot_word_is_split_without_broadcast(spark, lexicon):
+def test_hot_word_is_split_without_broadcast(spark, lexicon, monkeypatch):
+    monkeypatch.setattr(sentiment, "BROADCAST_CHARS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         scored = sentiment.score_messages_by_join(messages(spark, ["good"] * 500), lexicon, ["id"])
@@ -85,6 +86,43 @@ def test_hot_word_is_split_without_broadcast(spark, lexicon):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+ROUTES = ["inline", "broadcast", "merge"]
+
+
+def routed(spark, monkeypatch, route, frame, lexicon, keys):
+    if route == "inline":
+        return sentiment.score_messages(frame, lexicon, keys)
+    monkeypatch.setattr(sentiment, "BROADCAST_CHARS", 1 << 20 if route == "broadcast" else 0)
+    return sentiment.score_messages_by_join(frame, lexicon, keys)
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_scores_that_are_not_finite_are_left_out(spark, monkeypatch, route):
+    entries = [("good", 3.0), ("odd", float("nan")), ("up", float("inf")), ("down", float("-inf"))]
+    lexicon = spark.createDataFrame(entries, schemas.LEXICON)
+    frame = messages(spark, ["good odd up down", "odd", "up down"])
+    scored = routed(spark, monkeypatch, route, frame, lexicon, ["id"])
+    assert [r["sentiment"] for r in scored.orderBy("id").collect()] == [3.0, 0.0, 0.0]
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_rows_that_share_keys_keep_their_own_scores(spark, lexicon, monkeypatch, route):
+    rows = [(1, "good"), (1, "good bad bad"), (1, "good"), (None, "bad"), (None, None), (2, "")]
+    frame = spark.createDataFrame(rows, "id int, body string")
+    scored = routed(spark, monkeypatch, route, frame, lexicon, ["id"])
+    found = sorted((str(r["id"]), str(r["body"]), r["sentiment"]) for r in scored.collect())
+    expected = [3.0, -1.0, 3.0, -3.0, None, 0.0]
+    assert found == sorted((str(i), str(b), s) for (i, b), s in zip(rows, expected, strict=True))
+
+
+def test_no_body_in_an_exchange(spark, lexicon):
+    frame = messages(spark, BODIES)
+    plan = plan_of(sentiment.score_messages_by_join(frame, lexicon, ["id"]).select("id", "sentiment"))
+    branches = re.findall(r"Exchange hashpartitioning\(.*\n.*", plan)
+    assert branches and not any("body" in line for line in re.findall(r"Exchange.*", plan))
+    assert all("body" not in re.sub(r"xxhash64\(body[^)]*\)|isnotnull\(body[^)]*\)", "", b) for b in branches)
+
+
 def test_lexicon_example(spark):
     lexicon = spark.createDataFrame([("good", 3.0), ("rainy", -1.0)], schemas.LEXICON)
     scored = sentiment.score_messages(
