@@ -70,9 +70,7 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
         *[headers.header(head, name).alias(alias) for alias, name in HEADERS.items()],
     )
     cored = fields.withColumn("core", dates.date_core(F.col("date_text")))
-    timed = cored.withColumn("ts", dates.core_millis(F.col("core"))).withColumn(
-        "ts", dates.with_julian_days(F.col("ts"), F.col("core"))
-    )
+    timed = cored.withColumn("ts", dates.core_millis(F.col("core")))
     # A generator of one row: a filter on its output stays above it.  Otherwise
     # the filter on ``reason`` would be pushed below the projections and the
     # headers and dates would be parsed twice.

@@ -2,14 +2,14 @@ from __future__ import annotations
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from postmill.functions import dates
 
 
 def millis(t):
-    core = dates.date_core(t)
-    return dates.with_julian_days(dates.core_millis(core), core)
+    return dates.core_millis(dates.date_core(t))
 
 
 def test_accepted_and_refused_shapes(values):
@@ -20,7 +20,11 @@ def test_accepted_and_refused_shapes(values):
         "Mon, 4 Jun 2001 6:39:00 +0000 (UTC)": 991636740000,  # one digit
         "14 May 2001 16:39:00 -0700 (PDT)": None,
         "Xyz, 14 May 2001 16:39:00 -0700 (PDT)": None,
-        "Mon, 14 May 01 16:39:00 -0700 (PDT)": None,
+        "Mon, 14 May 2001 16:39:00 -0700 (XYZ)": None,  # no such zone
+        "Mon, 14 May 2001 16:39:00 XYZ (PDT)": None,
+        "Mon, 14 May 2001 16:39:00 -0560 (PDT)": None,
+        "Mon, 14 May 2001 16:39:00 -0500 (PST)": 989876340000,  # the offset decides
+        "Mon, 14 May 2001 16:39 -0700 (PDT)": None,
         "yesterday": None,
         "": None,
     }
@@ -48,10 +52,52 @@ def test_same_instant_as_the_lenient_parser_of_the_platform(spark, values):
         "Fri, 15 Oct 1582 00:00:00 +0000 (GMT)",
         "Sat, 01 Jan 2044 10:00:00 -0800 (PST)",
         "Mon, 14 May 2001 16:39:00 -0700 (PDT) trailing",
+        "Fri, 32 May 2001 16:39:00 -0700 (PDT)",
+        "Sun, 31 Jun 2001 16:39:00 -0700 (PDT)",
+        "Sun, 00 Jun 2001 16:39:00 -0700 (PDT)",
+        "Thu, 29 Feb 2001 16:39:00 -0800 (PST)",
+        "Mon, 14 May 2001 25:39:00 -0700 (PDT)",
+        "Mon, 14 May 2001 16:39:75 -0700 (PDT)",
+        "Mon, 14 May 2001 16:99:00 -0700 (PDT)",
+        "Mon, 140 May 2001 1000:39:00 -0700 (PDT)",
+        "Mon, 14 May 01 16:39:00 -0700 (PDT)",
+        "Mon, 14 May 99 16:39:00 -0700 (PDT)",
+        "Mon, 14 May 20011 16:39:00 -0700 (PDT)",
+        "Mon, 35 Feb 0100 10:00:00 -0800 (PST)",
+        "Mon, 14 May 2001 16:39:00 PDT (PDT)",
+        "Mon, 14 May 2001 16:39:00 pst (Pst)",
+        "Mon, 14 May 2001 16:39:00 GMT-07:00 (PDT)",
+        "Mon, 14 May 2001 16:39:00 GMT-7:00 (GMT-07:00)",
+        "Mon, 14 May 2001 16:39:00 GMT (GMT)",
+        "Mon, 14 May 2001 16: 39:00 -0700 ( PDT)",
+        "Mon, 14 May 2001 16:39:00 -0700 (-0700)",
+        "Mon, 14 May 2001 16:39:00 -0700 (Pacific Daylight Time)",
+        "Mon, 14 May 2001 16:39:00 Eastern Standard Time (EST)",
+        "Mon, 14 May 2001 16:39:00 +0200 (CEST)",
     ]
     assert values(cases, millis) == [parser.parse(c).getTime() for c in cases]
 
 
+def test_same_refusals_as_the_lenient_parser_of_the_platform(spark, values):
+    jvm = spark._jvm
+    parser = jvm.java.text.SimpleDateFormat("EEE, dd MMM yyyy HH:mm:ss Z (z)", jvm.java.util.Locale.US)
+    cases = [
+        "Mon, 14 May 2001 16:39:00 -0700 (XYZ)",
+        "Mon, 14 May 2001 16:39:00 -0700 ()",
+        "Mon, 14 May 2001 16:39:00 -700 (PDT)",
+        "Mon, 14 May 2001 16:39:00 -07:00 (PDT)",
+        "Mon, 14 May 2001 16:39:00 -2400 (PDT)",
+        "Mon, 14 May 2001 16:39:00 -0700 PDT",
+        "Mon,14 May 2001 16:39:00 -0700 (PDT)",
+        "Mon, 14 Foo 2001 16:39:00 -0700 (PDT)",
+        "Mon, 14 May 2001 16:39:00 -0700 (PDT",
+    ]
+    assert values(cases, millis) == [None] * len(cases)
+    for case in cases:
+        with pytest.raises(Exception, match="Unparseable"):
+            parser.parse(case)
+
+
 def test_week_index(values):
     days = ["1999-01-01", "2000-01-01", "2001-12-31", "2001-01-01"]
     assert values(days, lambda t: dates.week_index(F.to_date(t))) == [53, 104, 105, 105]
