@@ -45,9 +45,10 @@ def message_id(raw: Column, profile: str = REFERENCE) -> Column:
 def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
     """``(path, value)`` to ``path``, the message fields and ``reason``.
 
-    ``reason`` is null for a good message, else the first of ``no_date``,
-    ``bad_date``, ``no_id``, ``bad_id`` and ``no_from`` that applies; a bad
-    message never stops the run.  ``profile`` selects three behaviours together:
+    ``reason`` is null for a good message, else the first of ``hidden_name``,
+    ``no_date``, ``bad_date``, ``no_id``, ``bad_id`` and ``no_from`` that applies; a
+    bad message never stops the run.  A hidden name is that of a file without a
+    value, which the reader of folders could not open.  ``profile`` selects three behaviours together:
 
     ============== ============================= =======================
     \\              reference                     intended
@@ -59,13 +60,15 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
     ============== ============================= =======================
     """
     _check_profile(profile)
-    whole = raw.select("path", headers.without_tail(headers.unix_lines(F.col("value"))).alias("whole"))
-    split = whole.select("path", "whole", headers.header_block(F.col("whole")).alias("head"))
+    hidden = F.col("value").isNull() & F.col("path").rlike(r"(?:^|/)[_.][^/]*$")
+    whole = raw.select("path", hidden.alias("hidden"), headers.without_tail(headers.unix_lines(F.col("value"))).alias("whole"))
+    split = whole.select("path", "hidden", "whole", headers.header_block(F.col("whole")).alias("head"))
     head = F.col("head")
     if profile == INTENDED:
         head = headers.unfold(head)
     fields = split.select(
         "path",
+        "hidden",
         headers.after_head(F.col("whole"), F.col("head")).alias("rest"),
         *[headers.header(head, name).alias(alias) for alias, name in HEADERS.items()],
     )
@@ -75,9 +78,10 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
     # the filter on ``reason`` would be pushed below the projections and the
     # headers and dates would be parsed twice.
     one_row = F.inline(F.array(F.struct("date_text", "id_text", "from", "ts")))
-    parsed = timed.select("path", "to", "subject", "x_cc", "x_bcc", "rest", one_row)
+    parsed = timed.select("path", "hidden", "to", "subject", "x_cc", "x_bcc", "rest", one_row)
     reason = (
-        F.when(F.col("date_text").isNull(), "no_date")
+        F.when(F.col("hidden"), "hidden_name")
+        .when(F.col("date_text").isNull(), "no_date")
         .when(F.col("ts").isNull(), "bad_date")
         .when(F.col("id_text").isNull(), "no_id")
         .when(F.col("id_text") == "<>", "bad_id")

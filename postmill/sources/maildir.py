@@ -3,55 +3,64 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the only file name that is no message.
 IGNORED_FILES = [".DS_Store"]
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
-def _depth(path: Column) -> Column:
-    """Number of names in a path, without scheme and host."""
-    return F.size(F.split(F.btrim(F.regexp_replace(path, SCHEME, ""), F.lit("/")), "/+"))
+def _hidden_names(spark: SparkSession, root: str) -> tuple[list[str], list[str], bool]:
+    """Folders and files below ``root`` whose own name starts with ``_`` or ``.``; and
+    whether there is anything at all.
+
+    One pattern for each level, which the file system answers; only hidden names
+    reach Python.
+    """
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    system = path_class(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders: list[str] = []
+    files: list[str] = []
+    level, anything = root.rstrip("/"), False
+    while len(system.globStatus(path_class(f"{level}/*")) or []):
+        anything = True
+        for status in system.globStatus(path_class(f"{level}/{{_,.}}*")):
+            (folders if status.isDirectory() else files).append(status.getPath().toString())
+        level += "/*"
+    return folders, files, anything
 
 
-def read_maildir(spark: SparkSession, root: str, max_depth: int = 64) -> DataFrame:
-    """``(path, value)`` of every file below ``root``, at any depth.
+def read_maildir(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, value)`` of every file below ``root``, at any depth and of any name.
 
     ``root`` is an absolute path or a URI.  Spark's recursive listing leaves out
-    folders whose name starts with ``_`` or ``.``, such as ``_sent_mail``.  A
-    pattern that names the folder keeps it, so the levels are read with one
-    pattern for every second level, and each pattern gives the files of its own
-    level and of the next.  That condition is on the file path alone, so it
-    prunes the file list and every file is read once.
+    folders whose name starts with ``_`` or ``.``, such as ``_sent_mail``; these are
+    named beside the root, so that each file is listed and read once.
 
-    Known limit: Spark never reads a *file* whose own name starts with ``_`` or
-    ``.``.
+    Spark reads no *file* of such a name.  Those files are given with a null value,
+    so that the import counts them and rejects them with a reason; ``.DS_Store`` is
+    left out.
 
     One small file per message is a poor layout for a large corpus; read it
     once and store the imported table.
     """
-    bare = re.sub(SCHEME, "", root)
-    if not bare.startswith("/"):
+    if not re.sub(SCHEME, "", root).startswith("/"):
         raise ValueError("root must be an absolute path or a URI")
-    depth = len([name for name in bare.split("/") if name])
-    pattern = root.rstrip("/") + "/*"
-    levels = []
-    for level in range(1, max_depth + 1, 2):
-        try:
-            # The recursive lookup also keeps a folder such as year=2001 from being read as a column.
-            files = spark.read.text(pattern, wholetext=True, recursiveFileLookup=True)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            break
-        path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-        own = _depth(path).between(depth + level, depth + level + 1) & ~name.isin(IGNORED_FILES)
-        levels.append(files.filter(own).select(path.alias("path"), "value"))
-        pattern += "/*/*"
-    if not levels:
+    folders, files, anything = _hidden_names(spark, root)
+    if not anything:
         raise FileNotFoundError(f"no message below {root}")
-    return reduce(DataFrame.unionByName, levels)
+    # The recursive lookup also keeps a folder such as year=2001 from being read as a column.
+    found = spark.read.text([root, *map(_escaped, folders)], wholetext=True, recursiveFileLookup=True)
+    messages = found.select(F.col("_metadata.file_path").alias("path"), "value")
+    unread = [name for name in files if name.rsplit("/", 1)[1] not in IGNORED_FILES]
+    if not unread:
+        return messages
+    names = spark.createDataFrame([(name,) for name in unread], "path string")
+    return messages.unionByName(names.select("path", F.lit(None).cast("string").alias("value")))
+
+
+def _escaped(path: str) -> str:
+    """A path as a pattern that names itself alone."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)

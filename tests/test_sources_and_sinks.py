@@ -50,6 +50,19 @@ def test_every_folder_is_read_once(spark, mail_root):
     assert sorted(f.removeprefix(prefix) for f in found) == sorted(files)
 
 
+def test_no_file_is_lost(spark, mail_root):
+    root, files = mail_root
+    deep = root / "/".join(f"d{i}" for i in range(70))
+    for folder, names in ((root / "a", ["_m3", ".m4", ".DS_Store"]), (root / "a/_b/.c/[d]*", ["_m5", "1."]), (deep, ["1."])):
+        folder.mkdir(parents=True)
+        for n, name in enumerate(names):
+            (folder / name).write_text(MESSAGE.format(n=10 + n, who="a"))
+    tally = mail_import.import_to_tables(maildir.read_maildir(spark, str(root)), str(root.parent / "out")).first()
+    assert tally["files"] == len(files) + 5 == tally["parsed"] + tally["rejected"]
+    rejects = spark.read.parquet(str(root.parent / "out/rejects")).where("reason = 'hidden_name'").collect()
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in rejects) == [".m4", "_m3", "_m5"]
+
+
 def test_maildir_import(spark, mail_root):
     root, files = mail_root
     raw = maildir.read_maildir(spark, str(root))
