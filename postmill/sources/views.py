@@ -50,19 +50,24 @@ def register_employee(employee: DataFrame, name: str = "employee") -> None:
 def register_employee_arrays(employee: DataFrame, max_versions: int, name: str = "employee") -> None:
     """View of one row per sender with arrays of its newest cells, under a version bound.
 
-    For statements that use ``size(mid)`` and ``explode(toStr)``.  Counts are
-    those of the kept versions; use :func:`register_employee` for all of them.
+    For statements that use ``size(mid)`` and ``explode(toStr)``.  The column
+    ``truncated`` says whether the bound has cut an array of the sender; use
+    :func:`register_employee` for all versions.
     """
     columns = list(EMPLOYEE_CELLS)
     cells = versions.all_versions(employee, ["employee"], "ts", columns)
-    table = versions.version_table(cells, ["employee"], columns, max_versions)
+    # One cell more than is shown tells whether there are more.
+    table = versions.version_table(cells, ["employee"], columns, max_versions + 1)
 
     def arrays(column: str) -> Column:
         return F.transform(
-            column, lambda cell: F.struct(F.timestamp_millis(cell.ts).alias("ts"), cell.value.alias("value"))
+            F.slice(column, 1, max_versions),
+            lambda cell: F.struct(F.timestamp_millis(cell.ts).alias("ts"), cell.value.alias("value")),
         )
 
     newest = F.get(arrays("from"), F.lit(0))
+    most = F.greatest(*[F.size(c) for c in columns])
     table.select(
-        *[(newest if c == "from" else arrays(c)).alias(view) for c, view in EMPLOYEE_CELLS.items()]
+        *[(newest if c == "from" else arrays(c)).alias(view) for c, view in EMPLOYEE_CELLS.items()],
+        (most > max_versions).alias("truncated"),
     ).createOrReplaceTempView(name)

@@ -26,6 +26,10 @@ LEXICON = [
 ]
 STOP_WORDS = ["the", "and", "with"]
 
+# A date in year 1, and its instant as the Java platform reads it.
+SHORT_YEAR = "Mon, 14 May 01 16:39:00 -0700"
+SHORT_YEAR_MILLIS = -62_124_193_260_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -88,7 +92,9 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Of every 101 messages one lacks its date, one has a date without zone name,
     one lacks its id, one has an empty id and one lacks its sender; some have
-    Windows line ends, a repeated or a wrapped header.
+    Windows line ends, a repeated or a wrapped header.  Some dates are lenient: the
+    hour runs over into the next day, all of the clock is in the seconds, the offset
+    is a name, or the year has two digits (``SHORT_YEAR``).
     """
     m = mail(spark, sf_dir)
     seq = F.col("seq")
@@ -102,7 +108,19 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     clock = F.format_string(
         "%02d:%02d:%02d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60
     )
-    stamp = F.concat_ws(" ", day, clock, F.lit("+0000"))
+    late = F.concat_ws(
+        " ",
+        F.date_format(F.date_sub(dates.utc_date(F.col("ts")), 1), "EEE, dd MMM yyyy"),
+        F.format_string("%02d:%02d:%02d", F.floor(second / 3600) + 24, F.floor(second / 60) % 60, second % 60),
+        F.lit("+0000"),
+    )
+    stamp = (
+        F.when(kind == 6, late)
+        .when(kind == 7, F.concat_ws(" ", day, F.format_string("0:0:%d", second), F.lit("+0000")))
+        .when(kind == 8, F.lit(SHORT_YEAR))
+        .when(kind == 9, F.concat_ws(" ", day, clock, F.lit("GMT")))
+        .otherwise(F.concat_ws(" ", day, clock, F.lit("+0000")))
+    )
     head = F.concat(
         F.when(kind == 3, "").when(kind == 5, "Message-ID: <>\n").otherwise(
             line("Message-ID", F.concat(F.lit("<m"), seq.cast("string"), F.lit("x>")))

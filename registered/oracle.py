@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registered.inputs import DOMAIN, LEXICON, STOP_WORDS
+from registered.inputs import DOMAIN, LEXICON, SHORT_YEAR_MILLIS, STOP_WORDS
 
 _LEXICON_ROWS = ", ".join(f"('{word}', {score})" for word, score in LEXICON)
 _STOP_ROWS = ", ".join(f"('{word}')" for word in STOP_WORDS)
@@ -72,7 +72,7 @@ def _imported(mid: str, to: str, cc: str, bcc: str) -> str:
     body = _CLEAN.format("chr(10) || rtrim(text, chr(10)) || chr(10)")
     return f"""{_MAIL},
 good as (
-  select seq, sender, ts, {mid} as mid, {to} as recipients, subject, {cc} as cc, {bcc} as bcc,
+  select seq, sender, case when seq % 101 = 8 then {SHORT_YEAR_MILLIS} else ts end as ts, {mid} as mid, {to} as recipients, subject, {cc} as cc, {bcc} as bcc,
     case when rtrim(text, chr(10)) = '' then '' else {body} end as body
   from mail where seq % 101 not in (1, 2, 3, 4, 5)),
 emails as (
@@ -202,6 +202,7 @@ from events e join sums s on e.user_id = s.user_id where e.value <> 0""",
     "imported_employee": f"""with {_IMPORTED}
 select "from" as employee, ts, 'mid' as "column", mid as value from emails where mid is not null
 union all select "from", ts, 'from', "from" from emails
+union all select "from", ts, 'date', cast(date as varchar) from emails
 union all select "from", ts, 'to', "to" from emails where "to" is not null
 union all select "from", ts, 'subject', subject from emails where subject is not null
 union all select "from", ts, 'cc', cc from emails where cc is not null
@@ -254,9 +255,9 @@ select "from", ts, mid from emails where regexp_replace("from", '.*@', '') = '{D
 select regexp_replace(regexp_replace(url, '.*//', ''), '/.*', '') as id, count(*) as n
 from pages where url is not null group by 1""",
     "document_sentences": f"""
-with words as (
-  select doc_id, unnest(string_split({_CLEAN.format("text")}, ' ')) as word from documents)
-select doc_id, count(*) as n_words, max(word) as last_word from words where word <> '' group by doc_id""",
+with lists as (
+  select doc_id, list_filter(string_split({_CLEAN.format("text")}, ' '), lambda w: w <> '') as words from documents)
+select doc_id, cast(generate_subscripts(words, 1) - 1 as integer) as pos, unnest(words) as word from lists""",
     "email_cells": f"""with {_SCORED}
 select "from", ts, cast({_WEEK.format(_EMAIL_DAY, 1999)} as integer) as weeknum, "to", sentiment from scored""",
 }
@@ -271,12 +272,45 @@ select "from", ts, c.word, round(tf * idf, 6) as score
 from counts c join idf i on c.word = i.word where idf <> 0""",
     "version_table": f"""with {_TURN_CELLS},
 ranked as (
-  select *, row_number() over (partition by conv_id, "column" order by ts desc) as rank from cells),
-kept as (select * from ranked where rank <= 4)
-select conv_id, cast(count(*) filter ("column" = 'role') as integer) as n_roles,
-  cast(count(*) filter ("column" = 'text') as integer) as n_texts,
-  arg_max(value, ts) filter ("column" = 'role') as newest_role,
-  min(ts) filter ("column" = 'text') as oldest_ts,
-  arg_min(value, ts) filter ("column" = 'text') as oldest_text
-from kept group by conv_id""",
+  select *, row_number() over (partition by conv_id, "column" order by ts desc) - 1 as pos from cells),
+kept as (select * from ranked where pos < 4)
+select conv_id,
+  cast(sum(count(*) filter ("column" = 'role')) over same as integer) as n_roles,
+  cast(sum(count(*) filter ("column" = 'text')) over same as integer) as n_texts,
+  cast(pos as integer) as pos,
+  max(ts) filter ("column" = 'role') as role_ts, max(value) filter ("column" = 'role') as role,
+  max(ts) filter ("column" = 'text') as text_ts, max(value) filter ("column" = 'text') as text
+from kept group by conv_id, pos window same as (partition by conv_id)""",
+    "weekly_sentiment_sql": ORACLE_SQL["weekly_sentiment"],
+    "newest_by_sender_sql": f"""with {_EMAILS},
+ranked as (
+  select *, row_number() over (partition by "from" order by ts desc) as rank,
+    count(*) over (partition by "from") as n from emails)
+select "from", cast(least(max(n), 12) as integer) as versions, arg_max(mid, ts) as newest,
+  min(ts) as oldest_ts, max(n) > 12 as truncated
+from ranked where rank <= 12 group by "from\"""",
+    "newest_correspondents_sql": f"""with {_EMAILS},
+ranked as (
+  select *, row_number() over (partition by "from" order by ts desc) as rank from emails where "to" is not null),
+parts as (select "from", unnest(string_split("to", ',')) as part from ranked where rank <= 12)
+select "from", trim(part) as "to", count(*) as count from parts group by "from", trim(part)""",
+    "row_normalised_texts": """
+with named as (
+  select case when user_id % 7 = 0 then null when user_id % 7 = 1 then ' ' else event_type end as row,
+    event_id as col, value from events where value <> 0),
+sums as (select row, sum(abs(value)) as total from named group by row)
+select n.row, n.col, round(n.value / s.total * 1e6, 4) as value
+from named n join sums s on n.row is not distinct from s.row""",
+    "raw_term_counts": f"""with stop(word) as (values {_STOP_ROWS}),
+raw as (
+  select doc_id, lower(replace(replace(text, ', ', ',' || chr(9)), '.' || chr(10),
+    '.' || chr(13) || chr(10) || ' ' || chr(1))) as body
+  from documents),
+pieces as (select doc_id, unnest(regexp_split_to_array(body, '[ \t\n\x0b\f\r]+')) as piece from raw),
+words as (
+  select doc_id, regexp_replace(piece, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') as word from pieces)
+select doc_id, word, count(*) as tf from words
+where length(word) + length(regexp_replace(word, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) >= 3
+  and word not in (select word from stop)
+group by doc_id, word""",
 }

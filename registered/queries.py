@@ -103,6 +103,22 @@ def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts(spark, sf_dir)
 
 
+def raw_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of texts that have not been cleaned, with tabs and line ends of two kinds."""
+    raw = F.replace(F.replace("text", F.lit(", "), F.lit(",\t")), F.lit(".\n"), F.lit(".\r\n \x01"))
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", raw.alias("body"))
+    return terms.term_counts(docs, ["doc_id"], "body", inputs.STOP_WORDS)
+
+
+def row_normalised_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows named by text, some of them null or blank."""
+    name = F.when(F.col("user_id") % 7 == 0, F.lit(None)).when(F.col("user_id") % 7 == 1, F.lit(" "))
+    events = inputs.table(spark, sf_dir, "events")
+    matrix = events.select(name.otherwise(F.col("event_type")).alias("row"), F.col("event_id").alias("col"), "value")
+    shares = terms.row_l1_normalise(matrix, "row")
+    return shares.select("row", "col", F.round(F.col("value") * 1e6, 4).alias("value"))
+
+
 def term_counts_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stop words as a table: here the event types and region names of the given tables, lower case."""
     names = inputs.table(spark, sf_dir, "events").select(F.lower("event_type").alias("word"))
@@ -160,9 +176,10 @@ def imported_emails_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def imported_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All versions of the text columns, one row per cell."""
+    """All versions of all columns, one row per cell; dates as text."""
     table = _imported(spark, sf_dir, "employee", messages.REFERENCE)
-    return versions.all_versions(table, ["employee"], "ts", ["mid", "from", "to", "subject", "cc", "body"])
+    table = table.withColumn("date", F.col("date").cast("string"))
+    return versions.all_versions(table, ["employee"], "ts", ["mid", "date", "from", "to", "subject", "cc", "body"])
 
 
 def import_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,16 +251,22 @@ def version_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def version_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrays of the four newest cells of two columns, shown by size and ends."""
+    """Arrays of the four newest cells of two columns, shown cell by cell with their sizes."""
     cells = versions.all_versions(_turns(spark, sf_dir), CONVERSATION_KEYS, "turn", ["role", "text"])
     table = versions.version_table(cells, CONVERSATION_KEYS, ["role", "text"], 4)
-    return table.select(
+    sized = table.select("conv_id", F.size("role").alias("n_roles"), F.size("text").alias("n_texts"), "role", "text")
+    both = sized.select(
+        "conv_id", "n_roles", "n_texts", F.posexplode(F.arrays_zip("role", "text")).alias("pos", "cell")
+    )
+    return both.select(
         "conv_id",
-        F.size("role").alias("n_roles"),
-        F.size("text").alias("n_texts"),
-        F.col("role")[0]["value"].alias("newest_role"),
-        F.element_at("text", -1)["ts"].alias("oldest_ts"),
-        F.element_at("text", -1)["value"].alias("oldest_text"),
+        "n_roles",
+        "n_texts",
+        "pos",
+        F.col("cell.role.ts").alias("role_ts"),
+        F.col("cell.role.value").alias("role"),
+        F.col("cell.text.ts").alias("text_ts"),
+        F.col("cell.text.value").alias("text"),
     )
 
 
@@ -328,12 +351,9 @@ def page_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of the first sentence of each cleaned document."""
+    """Words of the first sentence of each cleaned document, in their order."""
     docs = inputs.table(spark, sf_dir, "documents").select("doc_id", text.clean_body(F.col("text")).alias("body"))
-    words = docs.select("doc_id", F.explode(text.first_sentence_words(F.col("body"))).alias("word"))
-    return words.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_words"), F.max("word").alias("last_word")
-    )
+    return docs.select("doc_id", F.posexplode(text.first_sentence_words(F.col("body"))).alias("pos", "word"))
 
 
 def chosen_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,11 +376,25 @@ def top_correspondents_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     views.register_employee(inputs.employee(spark, sf_dir), "postmill_employee")
     return spark.sql(
         """
-        select `from`, trim(part) as `to`, count(1) as count
-        from (select fromStr.value as `from`, toStr.value as line from postmill_employee
-              where toStr is not null) lines
-        lateral view explode(split(line, ',')) parts as part
-        group by `from`, trim(part) order by count desc, `from`, `to` limit 10
+        with addressed as (
+          select fromStr.value as sender, explode(split(toStr.value, ',')) as address from postmill_employee)
+        select sender as `from`, trim(address) as `to`, count(*) as count
+        from addressed group by all order by count desc, `from`, `to` limit 10
+        """
+    )
+
+
+def weekly_sentiment_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views.register_emails(inputs.scored(spark, sf_dir), "postmill_emails")
+    return spark.sql(
+        f"""
+        with dated as (
+          select dateLong.ts as sent, double(sentiment.value) as score
+          from postmill_emails where split_part(fromStr.value, '@', -1) = '{inputs.DOMAIN}')
+        select 52 * (extract(year from sent) - 1999) + extract(week from sent) as weeknum,
+          round(mean(score), 6) as avgsentiment, round(sqrt(var_pop(score)), 6) as stddevsentiment,
+          count(*) as nummessages
+        from dated group by all
         """
     )
 
@@ -369,11 +403,41 @@ def words_by_sentiment_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     views.register_emails(inputs.scored(spark, sf_dir), "postmill_emails")
     return spark.sql(
         f"""
-        select lword as word, round(sum(sentiment), 6) as totalsentiment from (
-          select lower(word) as lword, sentiment.value as sentiment from postmill_emails
-          lateral view explode(get(sentences(body.value), 0)) words as word
-          where regexp_replace(fromStr.value, ".*@", "") == "{inputs.DOMAIN}") found
-        group by lword order by totalsentiment, word
+        with domain_mail as (
+          select transform(get(sentences(body.value), 0), w -> lower(w)) as terms, sentiment.value as score
+          from postmill_emails where split_part(fromStr.value, '@', -1) = '{inputs.DOMAIN}'),
+        occurrences as (select explode(terms) as word, score from domain_mail)
+        select word, round(sum(score), 6) as totalsentiment
+        from occurrences group by word order by totalsentiment, word
+        """
+    )
+
+
+VERSION_BOUND = 12
+
+
+def newest_by_sender_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and newest cells of the view with arrays, and whether the bound cut them."""
+    views.register_employee_arrays(inputs.employee(spark, sf_dir), VERSION_BOUND, "postmill_arrays")
+    return spark.sql(
+        """
+        select fromStr.value as `from`, size(mid) as versions, mid[0].value as newest,
+          unix_millis(mid[size(mid) - 1].ts) as oldest_ts, truncated
+        from postmill_arrays
+        """
+    )
+
+
+def newest_correspondents_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recipients in the kept versions: two lateral views, one upon the other."""
+    views.register_employee_arrays(inputs.employee(spark, sf_dir), VERSION_BOUND, "postmill_arrays")
+    return spark.sql(
+        """
+        select fromStr.value as `from`, trim(address) as `to`, count(*) as count
+        from postmill_arrays
+          lateral view explode(toStr) as kept
+          lateral view explode(split(kept.value, ',')) as address
+        group by all
         """
     )
 
@@ -408,6 +472,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         message_keywords,
         term_counts,
         term_counts_stop_table,
+        raw_term_counts,
+        row_normalised_texts,
         document_frequency,
         document_frequency_of_counts,
         inverse_document_frequency,
@@ -441,7 +507,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         chosen_cells,
         top_senders_sql,
         top_correspondents_sql,
+        weekly_sentiment_sql,
         words_by_sentiment_sql,
+        newest_by_sender_sql,
+        newest_correspondents_sql,
         email_cells,
     ]
 }
