@@ -23,6 +23,8 @@ WIDE = r"[\x{10000}-\x{10FFFF}]"
 # At most this many frequent words are joined by broadcast; see split_by_share.
 FREQUENT_WORDS = 100_000
 LONGEST_KEY = 64
+# A stop table of up to so many characters is broadcast.
+BROADCAST_CHARS = 32 << 20
 
 
 def default_stop_words() -> list[str]:
@@ -73,8 +75,23 @@ def run_lengths(messages: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _without(rows: DataFrame, stop_words: DataFrame) -> DataFrame:
-    stop = stop_words.select(stop_words[stop_words.columns[0]].alias("word")).distinct()
-    return rows.join(stop, "word", "left_anti").select(*rows.columns)
+    """Rows whose word is not in a table of any size.
+
+    A table whose size has been checked is broadcast.  With a larger one, frequent
+    words are looked up in it once each, and their rows are kept or dropped where
+    they are; only rows of the other words are shuffled by word.
+    """
+    stop = stop_words.select(stop_words[stop_words.columns[0]].alias("word")).where("word is not null").distinct()
+    columns = rows.columns
+    size = stop.agg(F.sum(F.length("word") + 16)).first()[0] or 0
+    if size <= BROADCAST_CHARS:
+        return rows.join(F.broadcast(stop), "word", "left_anti").select(*columns)
+    frequent, _ = split_by_share(rows.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "n", FREQUENT_WORDS)
+    frequent = frequent.where(F.length("word") <= LONGEST_KEY).select("word")
+    stopped = frequent.join(stop, "word", "left_semi")
+    near = rows.join(F.broadcast(frequent), "word", "left_semi").join(F.broadcast(stopped), "word", "left_anti")
+    far = rows.join(F.broadcast(frequent), "word", "left_anti").join(stop.hint("merge"), "word", "left_anti")
+    return near.select(*columns).unionByName(far.select(*columns))
 
 
 def _stop_list(stop_words: list[str] | DataFrame | None) -> list[str]:

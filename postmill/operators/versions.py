@@ -17,7 +17,9 @@ TARGETS = {"emails": "from", "employee": "employee"}
 # Up to this bound Spark cuts each partition to N rows per key before the
 # shuffle by itself (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
-SPREAD = 1024
+# Beyond it, parts of a key are cut in rounds; each joins so many parts into one.
+PARTS = 4096
+FAN_IN = 8
 
 
 def key_for_target(messages: DataFrame, target: str) -> DataFrame:
@@ -74,22 +76,25 @@ def newest_versions(cells: DataFrame, keys: list[str], max_versions: int) -> Dat
     """The newest ``max_versions`` cells per key, as rows.
 
     Each task keeps its own newest N per key before the shuffle.  Above Spark's
-    group limit the same is done by an extra window over parts of each key.
+    group limit a key is split into parts, and the newest N of a few parts at a time
+    are kept, so that no task holds more than a few times N rows of a key.
     """
     if max_versions < 1:
         raise ValueError("max_versions must be at least 1")
     newest_first = F.col("ts").desc()
+
+    def cut(rows: DataFrame, by: list[str]) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(newest_first))
+        return rows.withColumn("__rank", rank).filter(F.col("__rank") <= max_versions).drop("__rank")
+
     if max_versions >= GROUP_LIMIT:
-        part = F.pmod(F.xxhash64("ts"), F.lit(SPREAD))
-        by_part = Window.partitionBy(*keys, "part").orderBy(newest_first)
-        cells = (
-            cells.withColumn("part", part)
-            .withColumn("rank", F.row_number().over(by_part))
-            .filter(F.col("rank") <= max_versions)
-            .drop("part", "rank")
-        )
-    by_key = Window.partitionBy(*keys).orderBy(newest_first)
-    return cells.withColumn("rank", F.row_number().over(by_key)).filter(F.col("rank") <= max_versions).drop("rank")
+        parts = PARTS
+        cells = cells.withColumn("__part", F.pmod(F.xxhash64("ts"), F.lit(parts)))
+        while parts > 1:
+            cells = cut(cells, [*keys, "__part"]).withColumn("__part", F.floor(F.col("__part") / FAN_IN))
+            parts //= FAN_IN
+        cells = cells.drop("__part")
+    return cut(cells, keys)
 
 
 def version_arrays(cells: DataFrame, keys: list[str], max_versions: int) -> DataFrame:

@@ -188,3 +188,17 @@ def test_length_of_words_counts_wide_characters_twice(spark):
     frame = spark.createDataFrame([(1, "\U0001f600\U0001f600 \U0001f600 ab abc a\U0001f600")], "k int, body string")
     counts = terms.term_counts(frame, ["k"], "body", [])
     assert sorted(r["word"] for r in counts.collect()) == sorted(["\U0001f600\U0001f600", "abc", "a\U0001f600"])
+
+
+@pytest.mark.parametrize("chars", [0, 1 << 20])
+@pytest.mark.parametrize("frequent", [1, 4, 100_000])
+def test_stop_tables_of_any_size_agree(spark, monkeypatch, chars, frequent):
+    monkeypatch.setattr(terms, "BROADCAST_CHARS", chars)
+    monkeypatch.setattr(terms, "FREQUENT_WORDS", frequent)
+    bodies = [(i, f"common word{i} word{i % 5} stopped " + "x" * (60 + i)) for i in range(20)]
+    frame = spark.createDataFrame(bodies, "k int, body string")
+    stop = spark.createDataFrame([("stopped",), ("word3",), (None,), ("stopped",), ("x" * 70,)], "w string")
+    counts = terms.term_counts(frame, ["k"], "body", stop).collect()
+    gone = {"stopped", "word3", "x" * 70}
+    expected = sorted((k, w) for k, body in bodies for w in set(body.split()) - gone)
+    assert sorted((r["k"], r["word"]) for r in counts) == expected
