@@ -94,7 +94,6 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
-        "longest_match",
     )
 
 
@@ -156,6 +155,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_html_extraction,
     )
 }
-
-#: DuckDB SQL for the queries that SQL can express on whole tables.
-ORACLE_SQL: dict[str, str] = {}
