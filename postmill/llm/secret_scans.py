@@ -166,3 +166,11 @@ def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     )
     rest = F.substring(text, (walked["at"] + 1).cast("int"), F.length(text))
     return F.when(F.size(spans) > 0, F.concat(walked["out"], rest)).otherwise(text)
+
+
+def mask_documents(docs: DataFrame, ledger: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with masked texts and no other change; texts without findings stay as they are."""
+    probe = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("probed"))
+    found = with_findings(probe, ledger, "probed")
+    clean = masked(F.col("probed"), F.col("spans"), mask)
+    return found.select(*[clean.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])

@@ -84,6 +84,21 @@ def test_run_is_registered_and_equals_the_stages(spark, stages):
     assert sorted(made.select(columns).collect()) == sorted(stages[5].select(columns).collect())
 
 
+CLASHES = "score spans hits items row blob simhash component_id k1 start length virtual_slot removed size".split()
+
+
+def test_stages_leave_columns_of_clashing_names_alone(spark):
+    docs = read_table(spark, SMALL, "documents").selectExpr("*", *[f"concat('{c}', doc_id) as {c}" for c in CLASHES])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SMALL)
+        if name == "packing":
+            assert out.count() >= docs.count()
+            continue
+        assert out.columns == docs.columns
+        for row in out.take(20):
+            assert [row[c] for c in CLASHES] == [f"{c}{row['doc_id']}" for c in CLASHES], name
+
+
 def test_stages_take_odd_rows(spark):
     rows = [
         (None, None, "en", "s", None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "word " * 50_000, None, None, 5),
