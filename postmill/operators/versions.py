@@ -8,6 +8,9 @@ cluster.  Arrays are built only under a version bound.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ TARGETS = {"emails": "from", "employee": "employee"}
 GROUP_LIMIT = 1000
 # Beyond it, parts of a key are cut in rounds; each joins so many parts into one.
 PARTS = 4096
+# Keys of several rows that are broadcast, at most.
+BROADCAST_KEYS = 500_000
 FAN_IN = 8
 
 
@@ -45,6 +50,23 @@ def upsert(cells: DataFrame, keys: list[str], order: str, columns: list[str]) ->
     return cells.groupBy(*keys).agg(*last)
 
 
+def upsert_stored(cells: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
+    """The same rows as :func:`upsert`, for a stored table whose keys are mostly unique.
+
+    A narrow pass over the keys finds those of several rows.  Where they have been
+    counted to be few they are broadcast: rows of all other keys then pass as they
+    are, without a sort or a shuffle of their texts, and only the rest is combined.
+    """
+    several = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    several = several.select(*[F.col(k).alias(f"__of_{k}") for k in keys])
+    if several.count() > BROADCAST_KEYS:
+        return upsert(cells, keys, order, columns)
+    several = F.broadcast(several)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    single = cells.join(several, same, "left_anti").select(*keys, *columns)
+    return single.unionByName(upsert(cells.join(several, same, "left_semi"), keys, order, columns))
+
+
 def merge_into(stored: DataFrame, incoming: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Upsert a keyed load into a stored table; the load wins cell by cell."""
     both = stored.select(*keys, *columns, F.lit(0).alias("load")).unionByName(

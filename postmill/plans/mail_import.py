@@ -18,16 +18,18 @@ def table_keys(target: str) -> list[str]:
     return [versions.TARGETS[target], "ts"]
 
 
-def merge_messages(accepted: DataFrame, target: str = "emails") -> DataFrame:
+def merge_messages(accepted: DataFrame, target: str = "emails", stored: bool = False) -> DataFrame:
     """Good messages to the target table, one row per (sender, ts).
 
     Messages of one sender and time are merged cell by cell in path order.  The
-    merge is the only shuffle.  The ``date`` cell is the message time itself and
-    needs no merge.
+    merge is the only shuffle; of a ``stored`` table, which is cheap to read again,
+    only messages that share a key take part in it.  The ``date`` cell is the message
+    time itself and needs no merge.
     """
     keys = table_keys(target)
     cells = [c for c in MESSAGE_COLUMNS if c not in [*keys, "date"]]
-    merged = versions.upsert(versions.key_for_target(accepted, target), keys, "path", cells)
+    merge = versions.upsert_stored if stored else versions.upsert
+    merged = merge(versions.key_for_target(accepted, target), keys, "path", cells)
     return merged.withColumn("date", F.col("ts")).select(*keys, *[c for c in MESSAGE_COLUMNS if c not in keys])
 
 
@@ -52,13 +54,14 @@ def import_to_tables(
     """Import into ``folder``: ``parsed``, the target table and ``rejects``; returns the tally.
 
     The raw files are opened and parsed once: the merge, the rejects and the
-    tally read the stored ``parsed`` table, each only its own columns.
+    tally read the stored ``parsed`` table, each only its own columns.  It stays
+    beside the other tables; remove it once the import has been accepted.
     ``folder`` must be on storage that all executors share.
     """
     spark = raw.sparkSession
     messages.parse_messages(raw, profile).write.parquet(f"{folder}/parsed")
     parsed = spark.read.parquet(f"{folder}/parsed")
-    table = merge_messages(messages.accepted(parsed), target)
+    table = merge_messages(messages.accepted(parsed), target, stored=True)
     if target == "emails":
         write_emails(table, f"{folder}/{target}")
     else:

@@ -20,13 +20,13 @@ MESSAGE_COLUMNS = ["mid", "date", "from", "to", "subject", "cc", "bcc", "body"]
 
 _MESSAGE_FIELDS = [
     _field("mid", T.StringType(), "Message-ID"),
-    _field("date", T.LongType(), "Date, epoch milliseconds"),
+    _field("date", T.LongType(), "instant of the Date header, in epoch milliseconds"),
     _field("to", T.StringType(), "To"),
     _field("subject", T.StringType(), "Subject"),
     _field("cc", T.StringType(), "cc"),
     _field("bcc", T.StringType(), "bcc"),
     _field("body", T.StringType(), "message body, cleaned"),
-    _field("sentiment", T.FloatType(), "sentiment score"),
+    _field("sentiment", T.FloatType(), "mean lexicon score of the body"),
 ]
 
 #: One row per (sender, message time).
@@ -56,8 +56,8 @@ USERS = T.StructType(
     [
         _field("user", T.StringType(), "row key", False),
         _field("ts", T.LongType(), "cell version in epoch milliseconds", False),
-        _field("name", T.StringType(), "name of user"),
-        _field("example_record", RECORD, "record cell"),
+        _field("name", T.StringType(), "display name"),
+        _field("example_record", RECORD, "counted record"),
     ]
 )
 USERS_MAX_VERSIONS = 10
@@ -65,7 +65,7 @@ USERS_MAX_VERSIONS = 10
 LEXICON = T.StructType(
     [
         _field("word", T.StringType(), "lower-case word"),
-        _field("score", T.FloatType(), "valence"),
+        _field("score", T.FloatType(), "weight of the word"),
     ]
 )
 

@@ -126,3 +126,27 @@ def test_grouped_pass_through_splits_a_hot_key(spark):
     keys = [r["key"] for r in placed]
     assert keys == sorted(keys)
     assert len({r["part"] for r in placed if r["key"] == "hot"}) > 2
+
+
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_stored_upsert_gives_the_same_rows(spark, monkeypatch, bound):
+    monkeypatch.setattr(versions, "BROADCAST_KEYS", bound)
+    rng = random.Random(4)
+    data = [
+        (rng.choice(["a", "b", None, f"s{i}"]), rng.choice([1, None, i]), f"p{i:04}", rng.choice([None, f"x{i}"]), rng.choice([None, f"y{i}"]))
+        for i in range(300)
+    ]
+    data += [("hot", 1, f"q{i:04}", "x", None) for i in range(300)]
+    frame = spark.createDataFrame(data, "k string, ts bigint, path string, x string, y string")
+    args = ["k", "ts"], "path", ["x", "y"]
+    assert sorted(map(str, versions.upsert_stored(frame, *args).collect())) == sorted(
+        map(str, versions.upsert(frame, *args).collect())
+    )
+
+
+def test_unique_keys_pass_without_a_shuffle(spark, tmp_path):
+    frame = spark.createDataFrame([(f"k{i % 50}", i // 50, f"p{i}", "body") for i in range(99)], "k string, ts bigint, path string, body string")
+    frame.write.parquet(str(tmp_path / "t"))
+    merged = versions.upsert_stored(spark.read.parquet(str(tmp_path / "t")), ["k", "ts"], "path", ["body"])
+    single = plan_of(merged.where("k is not null")).split("SortAggregate")[0]
+    assert "LeftAnti" in single and merged.count() == 99
