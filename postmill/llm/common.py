@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import io
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -15,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+_FOLDERS: dict[str, list[str]] = {}
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
@@ -30,13 +31,25 @@ def shared_folder(spark: SparkSession) -> str:
     folder takes its place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/postmill-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/postmill-{uuid.uuid4().hex}"
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Deletes the tables that this session's operators have stored between their steps.
+
+    Results that have not been stored elsewhere can't be computed after that.
+    """
+    for folder in _FOLDERS.pop(spark.sparkContext.applicationId, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and survives lost executors.
 
-    The files belong to the run and may go when it has ended; the folder's owner clears it.
+    The files belong to the run; :func:`clear_shared` deletes them when it has ended.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
@@ -48,19 +61,25 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Gives the workers this package, once a session, by Spark's own file service.
-
-    The zip file is small and only the driver reads it from its folder.
-    """
+    """Gives the workers this package, once a session: a small zip file in the shared folder,
+    handed out by Spark's own file service."""
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
-    path = os.path.join(tempfile.mkdtemp(prefix="postmill-"), f"{root.name}.zip")
-    with zipfile.ZipFile(path, "w") as archive:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
         for file in sorted(root.rglob("*.py")):
             archive.write(file, file.relative_to(root.parent))
-    context.addPyFile(path)
+    # Its folder is not cleared: executors that join later fetch it, too.
+    folder = shared_folder(spark)
+    _FOLDERS[context.applicationId].remove(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{root.name}.zip")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = system.create(path)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(system.makeQualified(path).toString())
     _SHIPPED.add(context.applicationId)
 
 
@@ -89,8 +108,9 @@ def append_columns(
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column and the n + 1 places where its values begin; null is empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """Bytes (UTF-8) of a string or binary column and the n + 1 places where its values
+    begin; null is empty."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)

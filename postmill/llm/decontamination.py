@@ -221,7 +221,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int, item: str, text: str, bl
     """One broadcast for each ``block_bytes`` of benchmark text; items are dealt by hash."""
     spark = benchmark.sparkSession
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    rows = rows.where("item is not null and text is not null")
+    rows = rows.where("item is not null and text is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
     out = []

@@ -122,7 +122,7 @@ def lines_of(page: str) -> list[Line]:
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(held)).split())
-        if text or out:
+        if text:
             out.append(Line(text, linked, furniture, inside))
         held.clear()
         linked = 0

@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import types as T
+
+from postmill.llm import common
+
+
+def test_stored_tables_are_cleared(spark):
+    kept = common.written(spark.range(5))
+    files = kept.inputFiles()
+    assert kept.count() == 5 and files
+    common.clear_shared(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(files[0])
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    assert common.written(spark.range(0)).collect() == []
+
+
+def test_the_folder_of_the_cluster_is_used():
+    conf = SimpleNamespace(get=lambda key, *default: {"spark.checkpoint.dir": "hdfs:///shared/"}[key])
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(applicationId="none"))
+    assert common.shared_folder(session).startswith("hdfs:///shared/postmill-")
+    common._FOLDERS.pop("none")
+
+
+def test_bytes_of_slices_and_nulls():
+    column = pa.array(["x", "é", None, "", "ab"]).slice(1)
+    data, offsets = common.text_bytes(column)
+    assert data.tobytes() == "éab".encode() and offsets.tolist() == [0, 2, 2, 2, 4]
+    assert common.text_bytes(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def test_ranges():
+    assert common.ranges(np.array([5, 0, 9]), np.array([2, 0, 3])).tolist() == [5, 6, 9, 10, 11]
+
+
+def test_new_columns_replace_those_of_their_names(spark):
+    frame = spark.createDataFrame([(1, "a")], "id int, N string")
+    out = common.append_columns(frame, lambda b: [pa.array([7] * b.num_rows, pa.int64())], [T.StructField("n", T.LongType())])
+    assert out.columns == ["id", "n"] and out.first()["n"] == 7

@@ -27,6 +27,7 @@ LONG = "This is a paragraph of running text that is long enough to make the wind
         ("<article><script>var t='</p>';</script><style>p{}</style><p>x<!-- no --> y</p><p hidden>z</p></article>", "x y"),
         ("<article><p>cut off <b>here", "cut off here"),
         ("<article><header><h1>Own title</h1></header><p>Text</p></article>", "Own title\nText"),
+        (f"<div><div><p>{LONG}</p></div></div><div><div><p>Short.</p></div></div><p>End.</p>", f"{LONG}\nShort.\nEnd."),
         ("<p>&am; &amp; &#233; &bogus;</p>", "&am; & é &bogus;"),
     ],
 )
