@@ -48,7 +48,7 @@ def op2_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = shards.balance(shards.collect_sizes(docs), SHARDS)
     assigned = shards.assign(docs, mapping, version=1)
     narrow = assigned.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))).drop("text")
-    return shards.with_positions(narrow, SHARDS).select(
+    return shards.with_positions(narrow).select(
         "doc_id",
         "size",
         "text_crc32",

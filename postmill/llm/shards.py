@@ -28,15 +28,15 @@ def record_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def slot_of(doc_id: Column, slots: int = SLOTS, parts: int = 1) -> Column:
-    """The virtual slot of a record; with ``parts``, the part of it as well, as one number."""
-    return F.pmod(F.xxhash64(doc_id.cast("string")), F.lit(slots * parts)).cast("int")
+def slot_of(doc_id: Column, text: Column, slots: int = SLOTS) -> Column:
+    """The virtual slot of a record, by hash of its id, or of its text where that is null."""
+    return F.pmod(F.xxhash64(F.coalesce(doc_id.cast("string"), text, F.lit(""))), F.lit(slots)).cast("int")
 
 
 def slot_sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
     """Bytes and records of each slot that has any."""
     return (
-        docs.select(slot_of(F.col(doc_id), slots).alias("virtual_slot"), record_size(F.col(text)).alias("size"))
+        docs.select(slot_of(F.col(doc_id), F.col(text), slots).alias("virtual_slot"), record_size(F.col(text)).alias("size"))
         .groupBy("virtual_slot")
         .agg(F.sum("size").alias("bytes"), F.count("*").alias("records"))
     )
@@ -117,7 +117,7 @@ def assign(
     """``docs`` and ``size``, ``shard``, ``virtual_slot``, ``map_version``; no shuffle."""
     new = {"size", "shard", "virtual_slot", "map_version"}
     kept = [f"`{c}`" for c in docs.columns if c.lower() not in new]
-    slot = slot_of(F.col(f"`{doc_id}`"), len(mapping))
+    slot = slot_of(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), len(mapping))
     return docs.select(
         *kept,
         record_size(F.col(f"`{text}`")).alias("size"),
@@ -127,22 +127,20 @@ def assign(
     )
 
 
-def with_positions(assigned: DataFrame, shards: int, slots: int = SLOTS, doc_id: str = "doc_id") -> DataFrame:
+def with_positions(assigned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``assigned`` and ``position``, the place of a record in its shard, without gaps from 0.
 
     The records of a shard stand by virtual slot, part of the slot, and id.  Only the
     parts are ranked by a window; how many records stand before a part is summed up
     from one count a part.  Records of one id are ranked in any order.
     """
-    part = slot_of(F.col(f"`{doc_id}`"), slots, RANK_PARTS)
-    keyed = assigned.withColumn("__part", part)
+    keyed = assigned.withColumn("__part", F.pmod(F.xxhash64(doc_id, "size"), F.lit(RANK_PARTS)).cast("int"))
     counts = keyed.groupBy("shard", "virtual_slot", "__part").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("shard").orderBy("virtual_slot", "__part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("shard", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy("__part").orderBy(doc_id)
+    begins = counts.select("virtual_slot", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    within = Window.partitionBy("virtual_slot", "__part").orderBy(doc_id)
     ranked = keyed.withColumn("__rank", F.row_number().over(within) - 1)
-    # One row a part, slots x parts of them at most: about 1 MB.
-    placed = ranked.join(F.broadcast(begins.select("__part", "__before")), "__part")
-    return placed.withColumn("position", (F.col("__before") + F.col("__rank")).cast("long")).drop(
-        "__part", "__before", "__rank"
-    )
+    # One row a part: slots x parts of them at most, about 1 MB.
+    placed = ranked.join(F.broadcast(begins), ["virtual_slot", "__part"])
+    position = (F.col("__before") + F.col("__rank")).cast("long")
+    return placed.select(*[f"`{c}`" for c in assigned.columns if c != "position"], position.alias("position"))

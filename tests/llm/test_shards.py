@@ -51,10 +51,17 @@ def test_odd_rows(spark):
     rows = [(None, None), (1, ""), (1, ""), (2, "é" * 100_000), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'mine' as shard", "1 as size")
     mapping = shards.balance(shards.collect_sizes(docs), 8)
-    out = shards.with_positions(shards.assign(docs, mapping), 8).collect()
+    out = shards.with_positions(shards.assign(docs, mapping)).collect()
     assert sorted((r["size"] for r in out)) == [1, 1, 1, 1, 200_001]
     for shard in {r["shard"] for r in out}:
         places = sorted(r["position"] for r in out if r["shard"] == shard)
         assert places == list(range(len(places)))
     empty = docs.limit(0)
-    assert shards.with_positions(shards.assign(empty, shards.balance({}, 8)), 8).collect() == []
+    assert shards.with_positions(shards.assign(empty, shards.balance({}, 8))).collect() == []
+
+
+def test_records_without_an_id_are_spread(spark):
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(400)], "doc_id long, text string")
+    mapping = shards.balance(shards.collect_sizes(docs), 8)
+    held = Counter(r["shard"] for r in shards.assign(docs, mapping).collect())
+    assert len(held) == 8 and max(held.values()) <= 52
