@@ -32,6 +32,8 @@ SEED = 42
 WIDTH = 64
 #: Fingerprints that share a variant and are still compared pair by pair.
 PAIRED = 32
+#: Shared variants of more than two fingerprints that are broadcast: about 20 MB.
+BROADCAST_KEYS = 500_000
 #: Shingles that are counted together.
 CHUNK = 1 << 17
 
@@ -115,19 +117,20 @@ def links(prints: DataFrame, bits: int = BITS, paired: int = PAIRED) -> DataFram
         return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
 
     twos = shared.where("n = 2").select("a", "b").where(near("a", "b"))
-    # The variants of more than two fingerprints meet their members again.
-    some = shared.where(f"n > 2 and n <= {paired}").select("variant", "rest")
-    many = shared.where(f"n > {paired}").select("variant", "rest")
-    members = variants.join(some, ["variant", "rest"])
-    members = written(members)
+    # The variants of more than two fingerprints meet their members again; those keys
+    # are few beside the variants, and are broadcast where they have been counted to be.
+    keys = shared.where("n > 2").select("variant", "rest", "n")
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    members = written(variants.join(keys, ["variant", "rest"]))
+    some = members.where(f"n <= {paired}").drop("n")
     pairs = (
-        members.withColumnRenamed("x", "a")
-        .join(members.withColumnRenamed("x", "b"), ["variant", "rest"])
+        some.withColumnRenamed("x", "a")
+        .join(some.withColumnRenamed("x", "b"), ["variant", "rest"])
         .where(F.col("a") < F.col("b"))
         .select("a", "b")
         .where(near("a", "b"))
     )
-    crowded = variants.join(many, ["variant", "rest"]).select("x").distinct()
+    crowded = members.where(f"n > {paired}").select("x").distinct()
     return twos.union(pairs).union(_through_middles(crowded, bits)).distinct()
 
 

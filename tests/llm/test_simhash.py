@@ -21,7 +21,8 @@ def test_fingerprints(monkeypatch):
 
 @pytest.mark.parametrize("bits", [0, 1, 2])
 @pytest.mark.parametrize("paired", [0, 3, 32])
-def test_links_of_planted_fingerprints(spark, bits, paired):
+def test_links_of_planted_fingerprints(spark, monkeypatch, bits, paired):
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", 500_000 if paired else 0)
     rng = random.Random(bits * 10 + paired)
     values = [rng.getrandbits(64) for _ in range(30)]
     for base in values[:10]:
