@@ -71,8 +71,11 @@ def core_millis(core: Column) -> Column:
     value of mail tools.  The offset decides, not the zone in brackets, but that must
     be one: an unknown zone name makes no date.
     """
-    part = F.split(core, "[|]")
+    # The list of one element binds the parts to a name, so that they are made once.
+    return F.get(F.transform(F.array(F.split(core, "[|]")), _instant), F.lit(0))
 
+
+def _instant(part: Column) -> Column:
     def number(at: int) -> Column:
         return F.get(part, F.lit(at)).try_cast("bigint")
 
@@ -83,10 +86,10 @@ def core_millis(core: Column) -> Column:
     march_year = year - F.when(month <= 2, 1).otherwise(0)
     shift = F.floor(march_year / 100) - F.floor(march_year / 400) - 2
     julian = (year < GREGORIAN_YEAR) | ((year == GREGORIAN_YEAR) & (days < GREGORIAN_START))
-    days = F.when(julian, days + shift).otherwise(days)
+    days = days + F.when(julian, shift).otherwise(0)
     seconds = (number(3) * 60 + number(4)) * 60 + number(5)
     offset, zone = _offset_millis(F.get(part, F.lit(6))), _offset_millis(F.get(part, F.lit(7)))
-    return F.when((core != "") & zone.isNotNull(), days * DAY_MS + seconds * 1000 - offset)
+    return F.when((F.size(part) == 8) & zone.isNotNull(), days * DAY_MS + seconds * 1000 - offset)
 
 
 def _offset_millis(text: Column) -> Column:
