@@ -11,9 +11,11 @@ All windows of ``length`` bytes are compared, without listing them all:
     different content goes to the shard of its anchor.  A shard sorts all suffixes of
     its bytes (Larsson-Sadakane), computes common prefixes (Kasai) and finds windows
     that occur twice.
-3.  An anchor with many different contents is dealt over several shards.  These give
-    out the fingerprints of their windows, which are sorted by range; there each
-    shard's windows are looked up among the others' by binary search.
+3.  An anchor with many different contents is dealt over several shards.  Windows at
+    about the same distance from the anchor form a block, and all of a block have its
+    core in common; blocks whose core is found in one shard alone are done.  Of the
+    others the windows' fingerprints are sorted by range, and each shard's are looked
+    up among the rest by binary search.
 
 Exact copies are thus settled by hashes, and a shard holds a bounded number of runs
 however common a passage is.  Contents are compared by 64-bit hashes within one 64-bit
@@ -41,7 +43,7 @@ ANCHOR = 100
 CHUNK = 1 << 20
 #: Bytes that a shard sorts together, and different contents of one anchor in a shard.
 SHARD_BYTES = 1 << 20
-GROUP = 512
+GROUP = 1024
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -196,15 +198,35 @@ def _cut_batch(batch: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
 
 
 _CONTENT = "k1 long, k2 long, start long, h long, part int, parts int, copies long, content binary"
-_FOUND = "k1 long, k2 long, start long, n long, f1 long, f2 long, h long, part int"
+_FOUND = "k1 long, k2 long, start long, n long, h long, part int, block long, f1 long, f2 long"
+_MARKS = "k1 long, k2 long, start long, h long, part int, f1 long, f2 long"
 
 
-def _shard(rows: pa.Table, length: int) -> pa.Table:
+def _block_width(length: int) -> int:
+    return max(1, length // 12)
+
+
+def _two_hashes(hashes: Hashes, starts: np.ndarray, length: int) -> tuple[pa.Array, pa.Array]:
+    """128 bits for each substring: of the whole, and of two parts that cover it."""
+    one = hashes.of(starts, length)
+    two = hashes.of(starts, length // 2) + hashes.of(starts + length // 3, length - length // 3)
+    return pa.array(one.view(np.int64)), pa.array(two.view(np.int64))
+
+
+def _anchor_places(hashes: Hashes, starts: np.ndarray, ends: np.ndarray, h: np.ndarray, anchor: int) -> np.ndarray:
+    """Where the anchor of each run stands: the first place of its hash."""
+    values = hashes.each(anchor)
+    wanted = np.repeat(h.view(np.uint64), ends - starts)[: len(values)]
+    places = np.flatnonzero(values == wanted)
+    return places[np.searchsorted(places, starts)]
+
+
+def _shard(rows: pa.Table, length: int, anchor: int) -> pa.Table:
     """Repeated windows among some runs, as rows of ``_FOUND``.
 
     Rows with ``n`` are repeated windows, by runs; of runs that are repeated anyway
-    none are given.  Rows with fingerprints are one window of each different content
-    under a divided anchor; they have a place if it is not known yet to be repeated.
+    none are given.  Rows with ``block`` are the blocks of runs under a divided anchor,
+    with the hashes of their cores.
     """
     rows = _unrepeated(rows)
     column = rows.column("content").combine_chunks().cast(pa.large_binary())
@@ -232,27 +254,64 @@ def _shard(rows: pa.Table, length: int) -> pa.Table:
     counts = np.diff(np.append(np.searchsorted(np.flatnonzero(new), head), int(new.sum())))
     at = np.asarray(rows.column("start"))[run[head]] + head - starts[run[head]]
     none = pa.nulls(len(head), pa.int64())
-    out = [[take("k1", run[head]), take("k2", run[head]), pa.array(at), pa.array(counts), none, none, none,
-            pa.nulls(len(head), pa.int32())]]
-
-    divided = np.asarray(rows.column("parts")) > 1
-    if divided.any():
-        place = np.flatnonzero(whole & divided[run])
-        _, one = np.unique(of_place[place], return_index=True)  # one window of each content
-        place = place[one]
-        hashes = Hashes(data)
-        f1 = hashes.of(place, length).view(np.int64)
-        f2 = (hashes.of(place, length // 2) + hashes.of(place + length // 3, length - length // 3)).view(np.int64)
-        owner = run[place]
-        settled = pa.array(repeated[place] | ~once[owner])
-        place_at = np.asarray(rows.column("start"))[owner] + place - starts[owner]
-        at = pc.if_else(settled, None, pa.array(place_at))
-        out.append([take("k1", owner), take("k2", owner), at, pa.nulls(len(place), pa.int64()), pa.array(f1),
-                    pa.array(f2), take("h", owner), take("part", owner)])
-    names = ["k1", "k2", "start", "n", "f1", "f2", "h", "part"]
+    parts = [take("part", run[head])]
+    out = [[take("k1", run[head]), take("k2", run[head]), pa.array(at), pa.array(counts), take("h", run[head]),
+            *parts, none, none, none]]
+
+    divided = np.flatnonzero(np.asarray(rows.column("parts")) > 1)
+    if len(divided):
+        hashes, width = Hashes(data), _block_width(length)
+        place = _anchor_places(hashes, starts, ends, np.asarray(rows.column("h")), anchor)[divided]
+        farthest = place - starts[divided]
+        nearest = farthest - (ends - starts)[divided] + length
+        first = nearest // width
+        counts = farthest // width - first + 1
+        owner, block = np.repeat(divided, counts), ranges(first, counts)
+        core = np.repeat(place, counts) - block * width
+        out.append([take("k1", owner), take("k2", owner), take("start", owner), pa.nulls(len(owner), pa.int64()),
+                    take("h", owner), take("part", owner), pa.array(block),
+                    *_two_hashes(hashes, core, length - width + 1)])
+    names = ["k1", "k2", "start", "n", "h", "part", "block", "f1", "f2"]
     return pa.concat_tables([pa.Table.from_arrays(columns, names=names) for columns in out])
 
 
+def _mark(batch: pa.RecordBatch, length: int, anchor: int) -> pa.RecordBatch:
+    """The windows of the listed blocks of runs, each with its place and two hashes."""
+    data, cuts = text_bytes(batch.column("content"))
+    starts, ends, width = cuts[:-1], cuts[1:], _block_width(length)
+    hashes = Hashes(data)
+    place = _anchor_places(hashes, starts, ends, np.asarray(batch.column("h")), anchor)
+    listed = batch.column("blocks")
+    row = np.repeat(np.arange(batch.num_rows), np.asarray(listed.value_lengths()))
+    block = np.asarray(listed.flatten())
+    # The windows of a block that lie in the run.
+    low = np.maximum(place[row] - block * width - width + 1, starts[row])
+    high = np.minimum(place[row] - block * width, ends[row] - length)
+    window = ranges(low, high - low + 1)
+    owner = np.repeat(row, high - low + 1)
+    at = np.asarray(batch.column("start"))[owner] + window - starts[owner]
+    one, two = _two_hashes(hashes, window, length)
+    # Rows of one shard lie together here: of its equal windows one is enough.
+    h, part = np.asarray(batch.column("h"))[owner], np.asarray(batch.column("part"))[owner]
+    columns = [h, part, np.asarray(one), np.asarray(two)]
+    by = np.lexsort(columns)
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = np.any([c[by][1:] != c[by][:-1] for c in columns], axis=0)
+    kept = pa.array(by[fresh])
+    rows = pa.array(owner).take(kept)
+    return pa.RecordBatch.from_arrays(
+        [batch.column("k1").take(rows), batch.column("k2").take(rows), pa.array(at).take(kept),
+         pa.array(h).take(kept), pa.array(part).take(kept), one.take(kept), two.take(kept)],
+        names=["k1", "k2", "start", "h", "part", "f1", "f2"],
+    )
+
+
+def _marks(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, GROUP):
+            yield _mark(batch.slice(begin, GROUP), length, anchor)
+
+
 def _unrepeated(rows: pa.Table) -> pa.Table:
     """Without rows of the place of the row before."""
     places = [np.asarray(rows.column(c)) for c in (*KEY, "start", "h")]
@@ -261,7 +320,7 @@ def _unrepeated(rows: pa.Table) -> pa.Table:
     return rows.filter(pa.array(fresh))
 
 
-def _shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
     """Sorts whole groups (anchor and part) of the ordered rows together, up to ``SHARD_BYTES``."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -277,11 +336,11 @@ def _shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             limit = np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + SHARD_BYTES)
             end = int(min(last, max(np.searchsorted(groups, groups[min(limit, len(groups) - 1)]),
                                     np.searchsorted(groups, groups[begin], side="right"))))
-            yield from _shard(table.slice(begin, end - begin), length).to_batches()
+            yield from _shard(table.slice(begin, end - begin), length, anchor).to_batches()
             begin = end
         held = table.slice(begin).combine_chunks().to_batches()
     if held and sum(b.num_rows for b in held):
-        yield from _shard(pa.Table.from_batches(held), length).to_batches()
+        yield from _shard(pa.Table.from_batches(held), length, anchor).to_batches()
 
 
 def _group_numbers(table: pa.Table) -> np.ndarray:
@@ -314,7 +373,7 @@ def _merged(table: pa.Table) -> Iterator[pa.RecordBatch]:
         for step in range(int((high - low).max(initial=0))):
             other = np.minimum(low + step, high - 1)
             found[mine] |= (other != mine) & (f2[other] == f2[mine]) & (h[other] == h[mine])
-    new = table.filter(pa.array(found)).filter(pc.is_valid(table.filter(pa.array(found)).column("start")))
+    new = table.filter(pa.array(found))
     ones = pa.array(np.ones(new.num_rows, np.int64))
     yield from pa.Table.from_arrays(
         [new.column("k1"), new.column("k2"), new.column("start"), ones], names=["k1", "k2", "start", "n"]
@@ -366,15 +425,33 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHO
             F.collect_list(F.struct("start", "n", "h", "part", "parts", "copies")).alias("runs")
         )
     )
+    cut = written(texts.join(wanted, KEY).mapInArrow(lambda batches: _cut(batches, length), _CONTENT))
     found = written(
-        texts.join(wanted, KEY)
-        .mapInArrow(lambda batches: _cut(batches, length), _CONTENT)
-        .repartition("h", "part")
+        cut.repartition("h", "part")
         .sortWithinPartitions("h", "part", *KEY, "start")
-        .mapInArrow(lambda batches: _shards(batches, length), _FOUND)
+        .mapInArrow(lambda batches: _shards(batches, length, anchor), _FOUND)
+    )
+    # Cores that stand in several shards of their anchor, and the runs that hold them.
+    core = ["h", "block", "f1", "f2"]
+    blocks = found.where("block is not null")
+    common = written(
+        blocks.groupBy(*core).agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select(*core)
+    )
+    held = written(
+        blocks.join(common, core).groupBy(*KEY, "start", "h").agg(F.collect_set("block").alias("blocks"))
+    )
+    marks = (
+        cut.where("parts > 1")
+        .join(held, [*KEY, "start", "h"])
+        .select(*KEY, "start", "h", "part", "blocks", "content")
+        .repartition("h", "part")
+        .sortWithinPartitions("h", "part")
+        .mapInArrow(lambda batches: _marks(batches, length, anchor), _MARKS)
     )
+    # One window of each content in each shard: if there are more, the shard has found them.
+    single = marks.groupBy("h", "part", "f1", "f2").agg(F.min(F.struct(*KEY, "start")).alias("at"))
     merged = (
-        found.where("f1 is not null")
+        single.select("at.*", "h", "part", "f1", "f2")
         .repartitionByRange("f1")
         .sortWithinPartitions("f1")
         .mapInArrow(_merge, "k1 long, k2 long, start long, n long")
