@@ -37,13 +37,25 @@ BASE_RULES = (
     SecretRule("access", r"AKIA[A-Z0-9]+", 0, 20),
     SecretRule("hex", r"[0-9a-f]{24,}", 0, 24),  # the same as all runs of one and more, then 24 and more
 )
+#: What may stand between the lines of a key: white space, escaped line ends, quotes and the like.
+_BETWEEN = r"""(?:[\s"'`>,;|#*]|\\[nrt])"""
+#: A key to its END line; if that is missing, its headers and base64 lines, the last of
+#: which may be short.  All loops are possessive, so that no text makes them go back.
+_PRIVATE_KEY = (
+    r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    rf"|(?:{_BETWEEN}*+(?:(?:Proc-Type|DEK-Info|Version|Comment):[^\r\n\\]*+|[A-Za-z0-9+/=]{{20,}}+))++"
+    rf"(?:{_BETWEEN}++[A-Za-z0-9+/=]{{1,19}}+(?=\s*$|[\r\n\"'`\\]))?"
+    rf"|{_BETWEEN}*+[A-Za-z0-9+/=]{{1,19}}+(?=\s*$)"
+    r"|)"
+)
 ADDED_RULES = (
     SecretRule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
-    SecretRule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
-    SecretRule("credentials", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,100}:([^\s/:@]{3,100})@", 1, 3),
+    SecretRule("private_key", _PRIVATE_KEY, 0, 1),
+    SecretRule("credentials", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]*+:([^\s/:@]{3,}+)@", 1, 3),
 )
 RULES = BASE_RULES + ADDED_RULES
-RULE_VERSION = "1"
+RULE_VERSION = "1.1"
 
 SPAN = "struct<start: bigint, rank: int, kind: string, end: bigint>"
 LEDGER_SCHEMA = f"blob string, rule_version string, spans array<{SPAN}>"

@@ -79,3 +79,35 @@ def test_spans_that_overlap_are_masked_once(spark):
     text = "token=" + "0123456789abcdef" * 2 + " end"
     frame = scanned(spark, [(1, text)])
     assert frame.select(secret_scans.masked(F.col("text"), F.col("spans"))).first()[0] == "[SECRET] end"
+
+
+KEY = [("MIIEpAIBAAKCAQEA" + "k3Y/Body+" * 9)[:64]] * 6 + ["dGhlIGVuZA=="]
+BEGIN, END = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+LONG_WORD = "p" * 300
+KEPT = [
+    # text, masked
+    ("a\n" + "\n".join([BEGIN, *KEY, END]) + "\nb", "a\n[SECRET]\nb"),
+    ("a\r\n" + "\r\n".join([BEGIN, "Proc-Type: 4,ENCRYPTED", "DEK-Info: X,0A", "", *KEY, END]) + " b", "a\r\n[SECRET] b"),
+    ('{"key": "' + "\\n".join([BEGIN, *KEY, END]) + '\\n"}', '{"key": "[SECRET]\\n"}'),
+    ("\n".join([BEGIN, *KEY]) + "\nThe text goes on here.", "[SECRET]\nThe text goes on here."),
+    ("\n".join([BEGIN, *KEY[:3]]) + "\nk3Y/B", "[SECRET]"),
+    ("\n".join([BEGIN, *KEY, "", BEGIN, *KEY, END, "c"]), "[SECRET]\n\n[SECRET]\nc"),
+    ("-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 1\n\n" + KEY[0] + "\n=aB3d\n-----END PGP PRIVATE KEY BLOCK-----.", "[SECRET]."),
+    (f"A file begins with {BEGIN} and so on - and on.", "A file begins with [SECRET] and so on - and on."),
+    (f"redis://:{LONG_WORD}@host", "[SECRET]host"),
+    (f"https://{LONG_WORD}:{LONG_WORD}@host/x", "[SECRET]host/x"),
+    ("see http://host:8080/a and me@host", "see http://host:8080/a and me@host"),
+]
+
+
+def test_whole_keys_and_long_credentials_are_masked(spark):
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(KEPT)], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in secret_scans.mask_documents(docs, secret_scans.scan_new(docs)).collect()}
+    assert [out[i] for i in range(len(KEPT))] == [masked for _, masked in KEPT]
+
+
+def test_long_texts_after_a_marker_end(spark):
+    texts = [BEGIN + "-x" * 200_000, BEGIN + "- " * 200_000 + END, BEGIN * 20_000, BEGIN + ("\n" + "Ab" * 32) * 20_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in secret_scans.mask_documents(docs, secret_scans.scan_new(docs)).collect()}
+    assert out == {0: "[SECRET]" + "-x" * 200_000, 1: "[SECRET]", 2: "[SECRET]" * 20_000, 3: "[SECRET]"}
