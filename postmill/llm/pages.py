@@ -54,8 +54,13 @@ _NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments "
     "consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice "
     "notices notification overlay pager pagination popup promo promotion recommended related replies search share "
-    "sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
+    "sharing signup sponsor sponsored subscribe subscription toolbar topbar".split()
 )
+#: Layout words, which mark furniture only as a whole class or id name.
+_WHOLE_NAMES = frozenset("sidebar social tags widget".split())
+#: An article inside these stays furniture.
+_CLOSED = frozenset("aside footer nav".split())
+_REPLIES = frozenset("comment comments disqus replies".split())
 
 
 @dataclass
@@ -66,6 +71,18 @@ class Line:
     inside: bool  # inside an article
 
 
+def _names(attributes: str) -> list[str]:
+    """The class and id names."""
+    found = _ATTRIBUTE.findall(attributes)
+    return [name for key, *values in found if key.lower() in ("class", "id") for name in "".join(values).split()]
+
+
+def _is_closed(tag: str, attributes: str) -> bool:
+    """Furniture that no article inside opens: comments, aside, nav, footer and what is hidden."""
+    words = (w.lower() for name in _names(attributes) for w in _WORD.findall(name))
+    return tag in _CLOSED or bool(_HIDDEN.search(attributes)) or any(w in _REPLIES for w in words)
+
+
 def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in ("html", "body", "article", "main"):
         return False
@@ -75,10 +92,11 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
         return False
     if _HIDDEN.search(attributes):
         return True
+    for name in _names(attributes):
+        if name.lower() in _WHOLE_NAMES or any(w.lower() in _NAMES for w in _WORD.findall(name)):
+            return True
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values)
-        if name.lower() in ("class", "id") and any(w.lower() in _NAMES for w in _WORD.findall(value)):
-            return True
         if name.lower() == "role" and value.lower() in _ROLES:
             return True
     return False
@@ -116,7 +134,8 @@ def lines_of(page: str) -> list[Line]:
     out: list[Line] = []
     held: list[str] = []
     linked = 0
-    furniture_until = article_until = link_until = -1
+    furniture_until = article_until = link_until = closed_until = -1
+    resumed: list[tuple[int, int]] = []  # end of an article, end of the furniture around it
     place = 0
 
     def flush() -> None:
@@ -142,17 +161,28 @@ def lines_of(page: str) -> list[Line]:
             continue
         starts = not token[2]
         opens = starts and tag not in _VOID and not token[4].endswith("/")
+        while resumed and resumed[-1][0] <= i:
+            furniture_until = max(furniture_until, resumed.pop()[1])
         now_furniture, now_inside = i < furniture_until, i < article_until
         if opens:
-            if tag in _ARTICLE and (not now_furniture or furniture_until == len(tokens)):
-                # An element without an end does not swallow the article.
+            closed = ends.get(i, len(tokens)) if _is_closed(tag, token[4]) else -1
+            if tag in _ARTICLE and (
+                not now_furniture or furniture_until == len(tokens) or (i >= closed_until and not now_inside)
+            ):
+                # Neither a wrapper nor an element without an end swallows the article;
+                # after it, the wrapper is furniture again.
+                if now_furniture and furniture_until < len(tokens):
+                    resumed.append((ends.get(i, len(tokens)), furniture_until))
                 now_furniture, furniture_until = False, -1
+                closed_until = -1
                 article_until = max(article_until, ends.get(i, len(tokens)))
                 now_inside = True
             elif tag == "body" and furniture_until == len(tokens):
                 now_furniture, furniture_until = False, -1
             elif not now_furniture and _is_furniture(tag, token[4], now_inside):
                 now_furniture, furniture_until = True, ends.get(i, len(tokens))
+            if tag not in ("html", "body") and closed < len(tokens):
+                closed_until = max(closed_until, closed)
             if tag == "a":
                 link_until = ends.get(i, -1)
         if tag in _BLOCKS or now_furniture != furniture or now_inside != inside:

@@ -57,3 +57,20 @@ def test_repeated_rows_clashes_and_empty_table(spark):
     frame = spark.createDataFrame([(1, "<p>x", "mine")] * 2, "page_id long, html string, text string")
     assert [r["text"] for r in pages.with_main_text(frame).collect()] == ["x", "x"]
     assert pages.with_main_text(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='layout has-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<div class='elementor-widget x'><main><p>{LONG}</p></main></div>", LONG),
+        (f"<form id='aspnetForm'><p>Menu</p><article><p>{LONG}</p></article><p>Out</p></form>", LONG),
+        (f"<div class='page-with-banner'><p>Buy</p><article><p>{LONG}</p></article><p>Buy</p></div>", LONG),
+        (f"<article><p>{LONG}</p></article><aside><article><p>Other</p></article></aside>", LONG),
+        (f"<article><p>{LONG}</p></article><div class=comments><article><p>First!</p></article></div>", LONG),
+        (f"<article><p>{LONG}</p><div class=promo><article><p>Buy</p></article></div><p>End.</p></article>", f"{LONG}\nEnd."),
+        (f"<div class=sidebar><p>Side {LONG}</p></div><div class='has-sidebar'><p>{LONG}</p></div>", LONG),
+    ],
+)
+def test_wrappers_do_not_swallow_the_page(page, text):
+    assert pages.main_text(page) == text
