@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontamination, near_copies, packing, quality, secret_scans
+from postmill.llm import decontamination, packing, quality, secret_scans, simhash
 from postmill.llm.common import read_table, written
 from postmill.llm.queries import tokenizer_path
 
@@ -23,8 +23,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates."""
-    return near_copies.one_of_each(docs)
+    """The document of the smallest id of each group of linked fingerprints.
+
+    Shingles of three words, two differing bits: what ``simhash`` takes by default.
+    """
+    return simhash.one_of_each(docs)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

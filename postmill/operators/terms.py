@@ -39,7 +39,8 @@ def message_words(
 
     The stop words go into the plan as a hash set.
     """
-    units = f"length(word) + regexp_count(word, r'{WIDE}')"
+    # Two characters have three units only if one of them has four bytes, so five bytes at least.
+    units = f"octet_length(word) >= 5 and length(word) + regexp_count(word, r'{WIDE}')"
     keep = f"(length(word) >= {SHORTEST_WORD} or {units} >= {SHORTEST_WORD})"
     if stop_words:
         keep += f" and word not in ({text.sql_literals(sorted(set(stop_words)))})"
