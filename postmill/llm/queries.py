@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import (
+    alignment,
     ball_tree,
     decontamination,
+    divergence,
+    licenses,
     packing,
     pages,
     quality,
@@ -37,6 +40,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_table(spark, sf_dir, "pages").select("page_id", "url")
     judged = urls.judge(source, URL_RULES)
@@ -140,6 +149,40 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align(docs, tokenizer_path(), piece_model_path())
+    # The groups' text is digested before anything is stored.
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    digested = aligned.select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "links")
+    return alignment.with_link_counts(digested).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = F.filter("found", lambda f: f["base"])
+
+    def labels(found: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda f: f["label"]))), ",")
+
+    return licenses.scan(docs).select(
+        "doc_id",
+        "n_words",
+        F.aggregate(base, F.lit(0).cast("long"), lambda n, f: n + f["places"]).alias("n_base"),
+        F.array_min(F.transform(base, lambda f: f["first_word"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda f: f["last_word"])).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("found")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda f: f["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -153,5 +196,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_simhash,
         op10_html_extraction,
+        op11_token_alignment,
+        op12_license_scan,
+        op13_source_divergence,
     )
 }

@@ -127,3 +127,95 @@ def repeats(texts: list, length: int):
         spans = [(m.start(), m.end() - m.start()) for m in re.finditer(b"\x01+", bytes(gone))]
         out.append((len(d), spans, bytes(b for b, g in zip(d, gone, strict=True) if not g)))
     return out
+
+
+def aligned(text, a_tokenizer, b_model):
+    """A ids, B ids and the groups of both as (A ids, B ids); nothing where either spells another text."""
+    if not text:
+        return [], [], []
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    names = {chr(b): b for b in plain}
+    names |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+    a = a_tokenizer.encode(" " + text, add_special_tokens=False).ids
+    b = b_model.encode(text)
+    a_bytes = [bytes(names[c] for c in a_tokenizer.id_to_token(i)) for i in a]
+    pieces = [(i, b_model.id_to_piece(i)) for i in b]
+    b_bytes = [bytes([int(p[3:5], 16)]) if b_model.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
+    if not b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
+        return [], [], []
+    groups, mine, yours, i, j, at, to = [], [], [], 0, 0, 0, 0
+    while i < len(a) or j < len(b):
+        if at <= to and i < len(a):
+            mine.append(a[i])
+            at += len(a_bytes[i])
+            i += 1
+        else:
+            yours.append(b[j])
+            to += len(b_bytes[j])
+            j += 1
+        if at == to:
+            groups.append((mine, yours))
+            mine, yours = [], []
+    return a, b, groups
+
+
+def link_counts(groups_of: list) -> list:
+    """For each text's groups, (links, links whose count is the highest of their B id, sum of counts)."""
+    from collections import Counter
+
+    links = [[(g[0][-1], g[1][-1]) for g in groups] for groups in groups_of]
+    count = Counter(pair for text in links for pair in text)
+    most: dict = {}
+    for (_, b), n in count.items():
+        most[b] = max(most.get(b, 0), n)
+    return [(len(t), sum(count[p] == most[p[1]] for p in t), sum(count[p] for p in t)) for t in links]
+
+
+def licenses(text, templates):
+    """Number of words; places of phrases by template number; containment of notices that reach theirs."""
+    w = words(text)
+    found = {}
+    notices = [t for t in templates if not t.phrase]
+    stride = max((len(t.words) for t in notices), default=1)
+    for number, t in enumerate(templates):
+        if t.phrase:
+            size = len(t.words)
+            at = [i for i in range(len(w) - size + 1) if w[i : i + size] == t.words]
+            if at:
+                found[number] = at
+        else:
+            parts = [set(w[k : k + 2 * stride - 1]) for k in range(0, len(w), stride)]
+            best = max((len(set(t.words) & p) / len(set(t.words)) for p in parts), default=0)
+            if best >= t.containment:
+                found[number] = best
+    return len(w), found
+
+
+def divergence(rows: list, least: int, top: int):
+    """Rows (lang, source, part, item, value, rank) of (text, lang, source)."""
+    from collections import Counter, defaultdict
+
+    counts, totals, held, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(Counter), set()
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        found = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", ascii_lower(text or ""))
+        groups.add((lang, source))
+        counts[lang, source].update(found)
+        totals[lang].update(found)
+        held[lang].update(set(found))
+    out = []
+    for lang, source in groups:
+        kept = [t for t, n in held[lang].items() if n >= least]
+
+        def price(counter, kept=kept):
+            n = sum(counter[t] for t in kept)
+            return {t: 1 + 10**9 * (counter[t] + 5) // (n + 5 * len(kept)) for t in kept}
+
+        p, q = price(counts[lang, source]), price(totals[lang])
+        others = [s for g, s in groups if g == lang and s != source]
+        pairs = [(s, sum(abs(p[t] - x) for t, x in price(counts[lang, s]).items())) for s in others]
+        terms = [(t, p[t] - q[t]) for t in kept if counts[lang, source][t] and p[t] > q[t]]
+        for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+            ranked = sorted(found, key=lambda x: (-x[1], x[0].encode()))[:most]
+            out += [(lang, source, part, item, value, rank + 1) for rank, (item, value) in enumerate(ranked)]
+    return sorted(out)
