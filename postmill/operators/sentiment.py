@@ -24,6 +24,12 @@ INLINE_LENGTH = 64
 # A joined lexicon of up to so many characters is broadcast.
 BROADCAST_CHARS = 32 << 20
 
+# Bits of a filter's bucket, as Spark's bitmap functions have them; bits for each entry of
+# the filter; and buckets of 4 KB at most, which are broadcast.
+BUCKET_BITS = 32_768
+BITS_PER_ENTRY = 16
+MOST_BUCKETS = 8192
+
 # Beyond that, parts that one word is split into, at least; see _salts.
 SALTS = 32
 
@@ -107,6 +113,7 @@ def score_messages_by_join(
     keys: list[str],
     body: str = "body",
     output: str = "sentiment",
+    broadcast_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """The same scores for a lexicon of any size, up to the rounding of sums.
 
@@ -117,7 +124,9 @@ def score_messages_by_join(
 
     A lexicon whose size has been checked is broadcast.  A larger one meets the
     words in a merge join, each word split into parts, as one word may be in every
-    message; Spark's own estimate must not decide for a broadcast there, because
+    message.  Words that no entry can equal are dropped before by a bit filter of the
+    lexicon, which is broadcast: its size is bounded, whatever the lexicon's is.
+    Spark's own estimate must not decide for a broadcast there, because
     that of exploded words is too low for long texts.
     """
     known = [*keys, "__b1", "__b2"]
@@ -127,12 +136,12 @@ def score_messages_by_join(
         known,
     )
     entries = matchable(lexicon)
-    size = entries.agg(F.sum(F.length("word") + 16)).first()[0] or 0
-    if size <= BROADCAST_CHARS:
+    size, n = entries.agg(F.sum(F.length("word") + 16), F.count(F.lit(1))).first()
+    if (size or 0) <= broadcast_chars:
         hits = counts.join(F.broadcast(entries), "word")
     else:
         salts = _salts(messages)
-        salted = counts.withColumn("salt", F.pmod(F.xxhash64(*known), F.lit(salts)).cast("int"))
+        salted = possible_words(counts, entries, n).withColumn("salt", F.pmod(F.xxhash64(*known), F.lit(salts)).cast("int"))
         spread = entries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         hits = salted.join(spread.hint("merge"), ["word", "salt"])
     totals = hits.groupBy(*known).agg(
@@ -146,6 +155,35 @@ def score_messages_by_join(
     return rows.join(totals, same, "left").select(*kept, F.when(F.col("__any"), mean).alias(output))
 
 
+def _bit(word: Column, buckets: int) -> Column:
+    """The bit of a word in a filter of so many buckets."""
+    return F.pmod(F.xxhash64(word, F.lit("filter")), F.lit(buckets * BUCKET_BITS))
+
+
+def word_filter(entries: DataFrame, buckets: int) -> DataFrame:
+    """``bucket`` and ``bits``: the bit of each word of ``entries`` is set."""
+    bit = entries.select(_bit(F.col("word"), buckets).alias("bit"))
+    return bit.groupBy(F.floor(F.col("bit") / BUCKET_BITS).cast("int").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("bit") % BUCKET_BITS).alias("bits")
+    )
+
+
+def possible_words(counts: DataFrame, entries: DataFrame, n: int) -> DataFrame:
+    """Rows of ``counts`` without those whose ``word`` is surely none of the ``n`` entries.
+
+    No row of an entry is lost; of the others about one in ``BITS_PER_ENTRY`` stays, more
+    of them if the lexicon is so large that the filter's bound holds it below that.
+    """
+    buckets = min(MOST_BUCKETS, max(1, -(-n * BITS_PER_ENTRY // BUCKET_BITS)))
+    columns = counts.columns
+    bit = counts.withColumn("__bit", _bit(F.col("word"), buckets))
+    keyed = bit.withColumn("bucket", F.floor(F.col("__bit") / BUCKET_BITS).cast("int"))
+    met = keyed.join(F.broadcast(word_filter(entries, buckets)), "bucket")
+    place = (F.col("__bit") % BUCKET_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return met.where(F.getbit(byte, place % 8) == 1).select(*columns)
+
+
 def _salts(messages: DataFrame) -> int:
     """Parts of a word: they follow the number of shuffle partitions, which follows the data."""
     return max(SALTS, int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)

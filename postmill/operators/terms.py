@@ -48,13 +48,9 @@ def message_words(
     return tokens.select(*keys, F.expr(f"filter(tokens, word -> {keep})").alias("words"))
 
 
-def run_lengths(messages: DataFrame, keys: list[str]) -> DataFrame:
-    """Sorted array ``words`` to one row per distinct word: keys, ``word``, ``tf``.
-
-    Counts inside the row: all words of a message are there already, so no
-    shuffle and no hash table of (message, word) pairs is needed.
-    """
-    starts = messages.select(
+def _run_starts(messages: DataFrame, keys: list[str]) -> DataFrame:
+    """Sorted array ``words`` and ``starts``, the places where a word differs from the one before."""
+    return messages.select(
         *keys,
         "words",
         F.filter(
@@ -66,13 +62,24 @@ def run_lengths(messages: DataFrame, keys: list[str]) -> DataFrame:
         ).alias("starts"),
     )
 
-    def run(at: Column, number: Column) -> Column:
-        end = F.coalesce(F.get("starts", number + 1), F.size("words"))
-        # The word is never null; saying so lets the branches of a plan share a shuffle.
-        word = F.coalesce(F.get("words", at), F.lit(""))
-        return F.struct(word.alias("word"), (end - at).cast("bigint").alias("tf"))
 
-    return starts.select(*keys, F.inline(F.transform("starts", run)))
+def _run(at: Column, number: Column) -> Column:
+    """(word, tf) of the run that starts at a place."""
+    end = F.coalesce(F.get("starts", number + 1), F.size("words"))
+    # The word is never null; saying so lets the branches of a plan share a shuffle.
+    word = F.coalesce(F.get("words", at), F.lit(""))
+    return F.struct(word.alias("word"), (end - at).cast("bigint").alias("tf"))
+
+
+def run_lengths(messages: DataFrame, keys: list[str]) -> DataFrame:
+    """Sorted array ``words`` to one row per distinct word: keys, ``word``, ``tf``.
+
+    Counts inside the row: all words of a message are there already, so no
+    shuffle and no hash table of (message, word) pairs is needed.  The runs are made in
+    the generator: as a column of their own they would be tested for emptiness below
+    all projections, with the words made anew for each of them.
+    """
+    return _run_starts(messages, keys).select(*keys, F.inline(F.transform("starts", _run)))
 
 
 def _without(rows: DataFrame, stop_words: DataFrame) -> DataFrame:
@@ -118,6 +125,32 @@ def term_counts(
     return _without(counts, stop_words) if isinstance(stop_words, DataFrame) else counts
 
 
+def reachable_counts(
+    messages: DataFrame,
+    keys: list[str],
+    frequency: DataFrame,
+    n: int,
+    body: str = "body",
+    stop_words: list[str] | None = None,
+) -> DataFrame:
+    """:func:`term_counts` without the words that can't be among a message's ``n`` best.
+
+    A word scores tf * idf, and every idf lies between those of the most and of the least
+    frequent word.  The n-th highest tf of a message times the lowest idf is a floor that
+    n of its words reach; a word whose tf times the highest idf stays below is left out,
+    inside the row, before anything is joined, shuffled or ranked.  Ties stay.
+    """
+    words = message_words(messages, keys, body, _stop_list(stop_words)).withColumn("words", F.sort_array("words"))
+    runs = _run_starts(words, keys).select(*keys, F.transform("starts", _run).alias("runs"))
+    total, most, least = F.sum("df"), F.max("df"), F.min("df")
+    # Rounded outward, so that no word is lost to the last digit.
+    bound = frequency.agg((F.try_divide(F.log2(total / most), F.log2(total / least)) * (1 - 1e-9)).alias("bound")).scalar()
+    tfs = F.sort_array(F.transform("runs", lambda run: run["tf"]), asc=False)
+    floor = F.coalesce(F.get(tfs, F.lit(n - 1)) * bound, F.lit(0.0))
+    floored = runs.select(*keys, "runs", floor.alias("floor"))
+    return floored.select(*keys, F.inline(F.filter("runs", lambda run: run["tf"] >= F.col("floor"))))
+
+
 def _frequency(words: DataFrame) -> DataFrame:
     # Declared as never null, as in run_lengths.
     word = F.coalesce("word", F.lit("")).alias("word")

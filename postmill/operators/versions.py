@@ -119,6 +119,37 @@ def newest_versions(cells: DataFrame, keys: list[str], max_versions: int) -> Dat
     return cut(cells, keys)
 
 
+def version_thresholds(cells: DataFrame, keys: list[str], max_versions: int) -> DataFrame:
+    """Of each key with more than ``max_versions`` cells the instant of the oldest one to keep:
+    keys, ``oldest``.
+
+    A narrow count finds these keys; only their instants are ranked, each task passing on
+    its newest ``max_versions`` of a key.
+    """
+    over = version_counts(cells, keys).where(F.col("versions") > max_versions)
+    over = over.select(*[F.col(k).alias(f"__of_{k}") for k in keys])
+    if over.count() <= BROADCAST_KEYS:
+        over = F.broadcast(over)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    narrow = cells.select(*keys, "ts").join(over, same, "left_semi")
+    return newest_versions(narrow, keys, max_versions).groupBy(*keys).agg(F.min("ts").alias("oldest"))
+
+
+def compact_versions(cells: DataFrame, thresholds: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells that the bound keeps: those at or after their key's threshold, and all of other keys.
+
+    Few thresholds, which are counted here, are broadcast: no cell is then shuffled,
+    whatever share of them one key has.  Each key has one cell an instant; of cells that
+    share the oldest instant all stay.  ``thresholds`` is best a stored table.
+    """
+    oldest = thresholds.select(*[F.col(k).alias(f"__of_{k}") for k in keys], "oldest")
+    if thresholds.count() <= BROADCAST_KEYS:
+        oldest = F.broadcast(oldest)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    kept = cells.join(oldest, same, "left").where(F.col("oldest").isNull() | (F.col("ts") >= F.col("oldest")))
+    return kept.select(*cells.columns)
+
+
 def version_arrays(cells: DataFrame, keys: list[str], max_versions: int) -> DataFrame:
     """Per key the newest cells as ``array<struct<ts, value>>``, newest first.
 

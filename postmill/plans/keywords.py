@@ -18,13 +18,17 @@ def message_keywords(
 ) -> DataFrame:
     """The ``n`` best words of each message: ``doc``, ``word``, ``score``.
 
-    The texts are read for the frequencies and again for the scores.  For
+    Words that can't be among them are left out before the scores are made, unless the
+    stop words are a table, which is applied later.  The texts are read for the frequencies and again for the scores.  For
     several runs over one corpus write ``terms.term_counts`` to a table once and
     call :func:`keywords_of_counts` on it.
     """
     bodies = emails.filter(F.col("body").isNotNull())
     frequency = terms.message_frequency(bodies, "body", stop_words)
-    counts = terms.term_counts(bodies, KEYS, "body", stop_words)
+    if isinstance(stop_words, DataFrame):
+        counts = terms.term_counts(bodies, KEYS, "body", stop_words)
+    else:
+        counts = terms.reachable_counts(bodies, KEYS, frequency, n, "body", stop_words)
     return _best(counts, frequency, n, frequent)
 
 

@@ -39,11 +39,16 @@ def top_senders_by_versions(employee: DataFrame, n: int = TOP) -> DataFrame:
     return _top(named, "count", ["from"], n)
 
 
-def correspondent_counts(emails: DataFrame) -> DataFrame:
-    """Messages per pair: ``sender``, ``recipient`` (lower case), ``email_count``."""
-    pairs = emails.filter(F.col("from").isNotNull() & F.col("to").isNotNull()).select(
+def correspondent_pairs(emails: DataFrame) -> DataFrame:
+    """A row for each recipient of each message: ``sender``, ``recipient`` (lower case)."""
+    return emails.filter(F.col("from").isNotNull() & F.col("to").isNotNull()).select(
         F.col("from").alias("sender"), F.explode(text.recipients(F.col("to"))).alias("recipient")
     )
+
+
+def correspondent_counts(emails: DataFrame) -> DataFrame:
+    """Messages per pair: ``sender``, ``recipient`` (lower case), ``email_count``."""
+    pairs = correspondent_pairs(emails)
     return pairs.groupBy("sender", "recipient").agg(F.count(F.lit(1)).alias("email_count"))
 
 
@@ -86,6 +91,46 @@ def weekly_statistics(rows: DataFrame, date: Column, value: str, base_year: int
     )
 
 
+def week_states(rows: DataFrame, date: Column, value: str, base_year: int = 1999) -> DataFrame:
+    """What a week's statistics are made of, to be stored for each load: ``weeknum``, ``messages``
+    (rows), ``n`` (values that are not null), ``mean`` and ``m2``, the sum of squared deviations."""
+    return rows.groupBy(dates.week_index(date, base_year).alias("weeknum")).agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count(value).alias("n"),
+        F.avg(value).alias("mean"),
+        (F.var_pop(value) * F.count(value)).alias("m2"),
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """States of several loads as one for each week.
+
+    Deviations are taken from the common mean, not from zero, so large offsets cost no
+    digits.  There is one row a week and load; no message is read again.
+    """
+    whole = states.groupBy("weeknum").agg(
+        F.sum("messages").alias("messages"),
+        F.sum("n").alias("n"),
+        (F.sum(F.col("n") * F.col("mean")) / F.nullif(F.sum("n"), F.lit(0))).alias("mean"),
+    )
+    centre = whole.select(F.col("weeknum").alias("__week"), F.col("mean").alias("__mean"))
+    apart = states.join(centre, F.col("weeknum").eqNullSafe(F.col("__week")))
+    spread = apart.groupBy("__week").agg(
+        F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("__mean")) * (F.col("mean") - F.col("__mean"))).alias("m2")
+    )
+    merged = whole.join(spread, F.col("weeknum").eqNullSafe(F.col("__week")))
+    return merged.select("weeknum", "messages", "n", "mean", "m2")
+
+
+def state_statistics(states: DataFrame) -> DataFrame:
+    """The statistics of merged states, as :func:`weekly_statistics` gives them."""
+    deviation = F.sqrt(F.col("m2") / F.nullif(F.col("n"), F.lit(0)))
+    return states.select(
+        "weeknum", F.col("mean").alias("avgsentiment"), deviation.alias("stddevsentiment"),
+        F.col("messages").alias("nummessages"),
+    )
+
+
 def weekly_sentiment(scored: DataFrame, domain: str, base_year: int = 1999) -> DataFrame:
     """Sentiment of one domain's messages over time."""
     return weekly_statistics(from_domain(scored, domain), dates.utc_date(F.col("ts")), "sentiment", base_year)

@@ -6,6 +6,8 @@ adaptive execution matter, and adaptive execution is Spark's default.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +30,14 @@ def build_session(app_name: str = "postmill", master: str | None = None, **conf:
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name on storage that all executors share: below ``spark.checkpoint.dir``, or,
+    in a local session without that setting, below the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/postmill-{uuid.uuid4().hex}"

@@ -94,6 +94,14 @@ _IMPORTED_INTENDED = _imported(
 _REASON = """case seq % 101 when 1 then 'no_date' when 2 then 'bad_date' when 3 then 'no_id'
   when 4 then 'no_from' when 5 then 'bad_id' end"""
 
+_STAMP = """case seq % 101
+  when 6 then strftime(make_timestamp(ts * 1000) - interval 1 day, '%a, %d %b %Y ')
+    || printf('%02d', hour(make_timestamp(ts * 1000)) + 24) || strftime(make_timestamp(ts * 1000), ':%M:%S +0000')
+  when 7 then strftime(make_timestamp(ts * 1000), '%a, %d %b %Y ') || '0:0:' || cast(ts // 1000 % 86400 as varchar) || ' +0000'
+  when 8 then 'Mon, 14 May 01 16:39:00 -0700'
+  when 9 then strftime(make_timestamp(ts * 1000), '%a, %d %b %Y %H:%M:%S GMT')
+  else strftime(make_timestamp(ts * 1000), '%a, %d %b %Y %H:%M:%S +0000') end"""
+
 _TURN_CELLS = """
 cells as (
   select conv_id, turn as ts, 'role' as "column", role as value from conversations where role is not null
@@ -282,6 +290,45 @@ select conv_id,
   max(ts) filter ("column" = 'text') as text_ts, max(value) filter ("column" = 'text') as text
 from kept group by conv_id, pos window same as (partition by conv_id)""",
     "weekly_sentiment_sql": ORACLE_SQL["weekly_sentiment"],
+    "weekly_event_values_merged": ORACLE_SQL["weekly_event_values"],
+    "message_sentiment_by_filter": ORACLE_SQL["message_sentiment"],
+    "top_correspondents_by_sketch": ORACLE_SQL["top_correspondents"],
+    "message_keywords_of_counts": ORACLE_SQL["message_keywords"],
+    "upserted_buckets": ORACLE_SQL["merged_emails"],
+    "compacted_versions": ORACLE_SQL["newest_versions"],
+    "values_as_of": """
+with bought as (
+  select user_id, event_id as ts, value from events where event_type = 'purchase' and value is not null)
+select e.user_id, e.event_id as at, coalesce(b.ts, -1) as ts, b.value
+from events e asof left join bought b on e.user_id = b.user_id and e.event_id >= b.ts""",
+    "document_frequency_by_deltas": f"""with {_EMAILS},
+stop(word) as (values {_STOP_ROWS}),
+bodies as (
+  select "from", ts, case when ts % 4000 = 0 then body || ' seen again' else body end as body from emails
+  union all select 're-' || "from", ts, 'late reply ' || subject from emails where subject is not null),
+all_words as (select "from", ts, unnest(string_split(lower(body), ' ')) as word from bodies)
+select word, cast(count(distinct ("from", ts)) as double) as df from all_words
+where length(word) >= 3 and word not in (select word from stop) group by word""",
+    "import_ledger": f"""with {_MAIL},
+whole as (
+  select seq, recipients is not null or seq % 6 = 0 as first, x_cc is not null as grown,
+    concat(case when seq % 101 = 3 then '' when seq % 101 = 5 then 'Message-ID: <>' || chr(10)
+             else 'Message-ID: <m' || cast(seq as varchar) || 'x>' || chr(10) end,
+      case when seq % 101 = 1 then '' else 'Date: ' || {_STAMP} || case when seq % 101 = 2 then '' else ' (UTC)' end || chr(10) end,
+      case when seq % 101 = 4 then '' else 'From: ' || sender || chr(10) end,
+      case when seq % 6 = 0 then 'To: ' || chr(10) else '' end,
+      coalesce('To: ' || recipients || chr(10), ''),
+      case when seq % 7 = 0 and recipients is not null
+        then chr(9) || 'late@corp.example.com' || chr(10) || 'To: other@corp.example.com' || chr(10) else '' end,
+      coalesce('Subject: ' || subject || chr(10), ''), coalesce('X-cc: ' || x_cc || chr(10), ''),
+      coalesce('X-bcc: ' || x_bcc || chr(10), ''), chr(10), text, chr(10)) as value
+  from mail),
+sized as (
+  select *, strlen(case when seq % 3 = 0 then replace(value, chr(10), chr(13) || chr(10)) else value end) as size from whole)
+select concat('inbox/', lpad(cast(seq as varchar), 15, '0')) as path, {_REASON} as reason,
+  cast(size + case when grown then 5 else 0 end as bigint) as length,
+  cast(1 + cast(first and grown as integer) as bigint) as opened, cast(not first or grown as integer) as load
+from sized""",
     "newest_by_sender_sql": f"""with {_EMAILS},
 ranked as (
   select *, row_number() over (partition by "from" order by ts desc) as rank,

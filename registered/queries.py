@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 
 from postmill import schemas
 from postmill.functions import dates, text
-from postmill.operators import counting, messages, sentiment, terms, versions
-from postmill.plans import keywords, mail_import, reports
-from postmill.sources import tables, views
+from postmill.operators import asof, counting, messages, sentiment, term_deltas, terms, versions
+from postmill.plans import heavy, keywords, mail_import, reports
+from postmill.session import scratch_folder
+from postmill.sinks import bucketed
+from postmill.sources import ledger, tables, views
 from registered import inputs
 
 KEYS = ["from", "ts"]
 CONVERSATION_KEYS = ["conv_id"]
+BUCKETS = 16
+#: Events of one user that stay together; users of more are cut into time slices.
+AS_OF_SLICE = 100_000
+EVENT_TYPES = ["click", "error", "purchase"]
 
 
 # --- questions over the stored tables ---------------------------------------
@@ -33,6 +39,12 @@ def top_correspondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_correspondents(inputs.emails(spark, sf_dir))
 
 
+def top_correspondents_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pairs from a sketch's candidates, proven by its error bound."""
+    pairs = reports.correspondent_pairs(inputs.emails(spark, sf_dir))
+    return heavy.top_counts(pairs, ["sender", "recipient"], reports.TOP, "email_count")
+
+
 def top_correspondents_by_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_correspondents_by_versions(inputs.employee(spark, sf_dir))
 
@@ -67,6 +79,27 @@ def weekly_event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weekly_event_values_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from stored states of several loads, one for each type of event."""
+    events = inputs.table(spark, sf_dir, "events")
+    path = scratch_folder(spark)
+    # Each load would append its own states; here they are made side by side.
+    states = [
+        reports.week_states(events.where(F.col("event_type").eqNullSafe(kind)), F.to_date("ts"), "value", base_year=2024)
+        for kind in EVENT_TYPES
+    ]
+    others = events.where(~F.coalesce(F.col("event_type").isin(EVENT_TYPES), F.lit(False)))
+    for state in [*states, reports.week_states(others, F.to_date("ts"), "value", base_year=2024)]:
+        state.write.mode("append").parquet(path)
+    weeks = reports.state_statistics(reports.merge_states(spark.read.parquet(path)))
+    return weeks.select(
+        "weeknum",
+        F.round("avgsentiment", 4).alias("avgvalue"),
+        F.round("stddevsentiment", 4).alias("stddevvalue"),
+        F.col("nummessages").alias("numevents"),
+    )
+
+
 def words_by_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = reports.words_by_sentiment(inputs.scored(spark, sf_dir), inputs.DOMAIN)
     return words.select("word", F.round("totalsentiment", 6).alias("totalsentiment"))
@@ -83,6 +116,14 @@ def message_sentiment_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("from", "ts", "sentiment")
 
 
+def message_sentiment_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the lexicon treated as too large for a broadcast: a bit filter and a merge join."""
+    scored = sentiment.score_messages_by_join(
+        inputs.emails(spark, sf_dir).select(*KEYS, "body"), inputs.lexicon(spark), KEYS, broadcast_chars=0
+    )
+    return scored.select("from", "ts", "sentiment")
+
+
 def sentiment_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentiment.sentiment_cells(inputs.scored(spark, sf_dir), KEYS, F.lit(1_000_000_000_000))
 
@@ -159,6 +200,31 @@ def row_normalised_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.select("row", "col", F.round("value", 6).alias("value"))
 
 
+def message_keywords_of_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best words from all term counts, none left out by bounds."""
+    best = keywords.keywords_of_counts(_counts(spark, sf_dir))
+    return best.select("doc", "word", F.round("score", 6).alias("score"))
+
+
+def document_frequency_by_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequencies after a second load, from those of the first and the signed change.
+
+    The load gives every fourth second's messages a longer body, leaves other bodies as
+    they are, and brings replies under new keys.
+    """
+    stored = inputs.emails(spark, sf_dir).select(*KEYS, "body", "subject")
+    path = scratch_folder(spark)
+    term_deltas.append_delta(terms.message_frequency(stored, "body", inputs.STOP_WORDS), path, 1)
+    again = F.when(F.col("ts") % 4000 == 0, F.concat("body", F.lit(" seen again")))
+    load = stored.select(*KEYS, again.alias("body"))
+    replies = stored.where("subject is not null").select(
+        F.concat(F.lit("re-"), "from").alias("from"), "ts", F.concat(F.lit("late reply "), "subject").alias("body")
+    )
+    delta = term_deltas.frequency_delta(stored, load.unionByName(replies), KEYS, "body", inputs.STOP_WORDS)
+    term_deltas.append_delta(delta, path, 2)
+    return term_deltas.read_frequency(spark, path)
+
+
 # --- import -------------------------------------------------------------------
 
 
@@ -200,11 +266,9 @@ def upserted_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.emails(spark, sf_dir)
 
 
-def merged_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second load, with new subjects and without recipients, merged into the stored table."""
-    stored = inputs.emails(spark, sf_dir)
-    columns = ["mid", "date", "to", "subject", "cc", "bcc", "body"]
-    load = stored.select(
+def _load_again(stored: DataFrame) -> DataFrame:
+    """A second load, with new subjects and without recipients."""
+    return stored.select(
         *KEYS,
         F.concat("mid", F.lit("-again")).alias("mid"),
         "date",
@@ -214,7 +278,41 @@ def merged_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bcc",
         "body",
     )
-    return versions.merge_into(stored, load, KEYS, columns)
+
+
+def merged_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load merged into the stored table."""
+    stored = inputs.emails(spark, sf_dir)
+    columns = ["mid", "date", "to", "subject", "cc", "bcc", "body"]
+    return versions.merge_into(stored, _load_again(stored), KEYS, columns)
+
+
+def upserted_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the table stored in hash buckets, of which the load rewrites its own."""
+    path = scratch_folder(spark)
+    bucketed.write_buckets(inputs.emails(spark, sf_dir), path, KEYS, BUCKETS)
+    bucketed.upsert_buckets(_load_again(bucketed.read_buckets(spark, path)), path)
+    return bucketed.read_buckets(spark, path)
+
+
+def import_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two imports of one folder: of the second, only new and changed files are opened.
+
+    The first finds the messages without recipients missing; before the second, those
+    with a cc grow by a line.
+    """
+    raw = inputs.raw_messages(spark, sf_dir)
+    listed = raw.select("path", F.octet_length("value").cast("bigint").alias("length"), F.lit(1).cast("bigint").alias("modified"))
+    path = scratch_folder(spark)
+    absent = raw.where(~F.col("value").contains("\nTo: ")).select("path")
+    ledger.parse_files(raw, listed.join(absent, "path", "left_anti"), 0).write.parquet(path)
+    grown = raw.withColumn("value", F.when(F.col("value").contains("\nX-cc: "), F.concat("value", F.lit("more\n"))).otherwise(F.col("value")))
+    now = grown.select("path", F.octet_length("value").cast("bigint").alias("length"), F.lit(1).cast("bigint").alias("modified"))
+    new = ledger.unseen(now, ledger.ledger_of(spark.read.parquet(path)))
+    ledger.parse_files(grown, new, 1).write.mode("append").parquet(path)
+    parsed = spark.read.parquet(path)
+    times = parsed.groupBy("path").agg(F.count(F.lit(1)).alias("opened"), F.max("load").alias("load"))
+    return ledger.ledger_of(parsed).join(times, "path").select("path", "reason", "length", "opened", "load")
 
 
 # --- versions -------------------------------------------------------------------
@@ -242,6 +340,23 @@ def newest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.newest_versions(cells, ["user_id"], schemas.USERS_MAX_VERSIONS)
 
 
+def compacted_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same bound kept in storage: cells older than their user's threshold are dropped."""
+    cells = versions.column_versions(inputs.table(spark, sf_dir, "events"), ["user_id"], "event_id", "value")
+    path = scratch_folder(spark)
+    versions.version_thresholds(cells, ["user_id"], schemas.USERS_MAX_VERSIONS).write.parquet(path)
+    return versions.compact_versions(cells, spark.read.parquet(path), ["user_id"])
+
+
+def values_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each event the user's newest purchase up to then (-1 if none), and its value."""
+    events = inputs.table(spark, sf_dir, "events")
+    bought = versions.column_versions(events.where("event_type = 'purchase'"), ["user_id"], "event_id", "value")
+    asks = events.select("user_id", F.col("event_id").alias("at"))
+    found = asof.values_as_of(bought, asks, ["user_id"], slice_rows=AS_OF_SLICE)
+    return found.withColumn("ts", F.coalesce("ts", F.lit(-1)))
+
+
 def version_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays of the three newest turns, shown as rows with their position."""
     arrays = versions.version_arrays(_text_cells(spark, sf_dir), CONVERSATION_KEYS, 3)
@@ -460,22 +575,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         top_senders,
         top_senders_by_versions,
         top_correspondents,
+        top_correspondents_by_sketch,
         top_correspondents_by_versions,
         correspondent_counts,
         correspondent_version_counts,
         weekly_sentiment,
         weekly_event_values,
+        weekly_event_values_merged,
         words_by_sentiment,
         message_sentiment,
         message_sentiment_by_join,
+        message_sentiment_by_filter,
         sentiment_cells,
         message_keywords,
+        message_keywords_of_counts,
         term_counts,
         term_counts_stop_table,
         raw_term_counts,
         row_normalised_texts,
         document_frequency,
         document_frequency_of_counts,
+        document_frequency_by_deltas,
         inverse_document_frequency,
         word_scores,
         row_normalised_values,
@@ -484,17 +604,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         imported_employee,
         import_rejects,
         import_tally,
+        import_ledger,
         clean_bodies,
         upserted_emails,
         merged_emails,
+        upserted_buckets,
         all_versions,
         latest_versions,
         newest_versions,
+        compacted_versions,
         version_arrays,
         version_table,
         version_counts,
         version_timestamps,
         value_at_version,
+        values_as_of,
         selected_cells,
         copied_column,
         value_counts,

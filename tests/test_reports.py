@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +148,31 @@ def test_arrays_say_whether_they_are_cut(spark, employee, bound):
         }
     finally:
         spark.catalog.dropTempView("v_arrays")
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e9])
+def test_merged_weeks_equal_one_pass(spark, tmp_path, offset):
+    """Three loads of different sizes, one of them without a week of the others; large offsets; nulls."""
+    draw = random.Random(5)
+    rows = [(draw.randrange(40), None if draw.random() < 0.1 else offset + draw.random()) for _ in range(900)]
+    rows += [(500, None), (500, None), (600, offset + 0.5)]
+    parts = [rows[:600], rows[600:880], rows[880:]]
+    date = F.date_from_unix_date(F.col("day"))
+    for part in parts:
+        frame = spark.createDataFrame(part, "day int, value double")
+        reports.week_states(frame, date, "value").write.mode("append").parquet(str(tmp_path / "weeks"))
+    merged = reports.state_statistics(reports.merge_states(spark.read.parquet(str(tmp_path / "weeks"))))
+    whole = reports.weekly_statistics(spark.createDataFrame(rows, "day int, value double"), date, "value")
+    assert merged.columns == whole.columns
+    theirs = {r["weeknum"]: r for r in whole.collect()}
+    found = merged.collect()
+    assert len(found) == len(theirs)
+    for r in found:
+        other = theirs[r["weeknum"]]
+        assert r["nummessages"] == other["nummessages"]
+        for c in ("avgsentiment", "stddevsentiment"):
+            assert (r[c] is None) == (other[c] is None)
+            assert r[c] is None or abs(r[c] - other[c]) <= 1e-9 * max(1.0, offset)
+    states = reports.merge_states(spark.read.parquet(str(tmp_path / "weeks")))
+    again = reports.merge_states(states)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, states.collect()), key=str)

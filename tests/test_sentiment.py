@@ -76,10 +76,9 @@ def test_long_entry_is_joined(spark):
 
 
 def test_hot_word_is_split_without_broadcast(spark, lexicon, monkeypatch):
-    monkeypatch.setattr(sentiment, "BROADCAST_CHARS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        scored = sentiment.score_messages_by_join(messages(spark, ["good"] * 500), lexicon, ["id"])
+        scored = sentiment.score_messages_by_join(messages(spark, ["good"] * 500), lexicon, ["id"], broadcast_chars=0)
         assert "salt" in plan_of(scored)
         assert scored.agg(F.sum("sentiment")).first()[0] == 1500.0
     finally:
@@ -92,8 +91,7 @@ ROUTES = ["inline", "broadcast", "merge"]
 def routed(spark, monkeypatch, route, frame, lexicon, keys):
     if route == "inline":
         return sentiment.score_messages(frame, lexicon, keys)
-    monkeypatch.setattr(sentiment, "BROADCAST_CHARS", 1 << 20 if route == "broadcast" else 0)
-    return sentiment.score_messages_by_join(frame, lexicon, keys)
+    return sentiment.score_messages_by_join(frame, lexicon, keys, broadcast_chars=1 << 20 if route == "broadcast" else 0)
 
 
 @pytest.mark.parametrize("route", ROUTES)
@@ -139,3 +137,26 @@ def test_cells(spark, lexicon):
     assert [r.asDict() for r in cells.collect()] == [{"from": "a", "message_ts": 7, "ts": 99, "value": 3.0}]
     now = sentiment.sentiment_cells(scored, ["from", "ts"]).first()["ts"]
     assert now > 1_700_000_000_000
+
+
+def test_bit_filter_loses_no_entry_and_few_others_pass(spark):
+    """Of the words that are shuffled nearly all are entries of the lexicon."""
+    entries = spark.range(40_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"), F.lit(1.0).alias("score"))
+    counts = spark.range(120_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"), "id")
+    passed = sentiment.possible_words(counts, entries, 40_000)
+    assert passed.columns == counts.columns
+    assert passed.where("id < 40000").count() == 40_000
+    # One word in 16 hits a bit by chance; 80,000 of them are no entry.
+    assert passed.count() - 40_000 < 80_000 / 16 * 1.2
+    filtered = sentiment.word_filter(entries, 20)
+    assert filtered.count() <= 20 and {len(r["bits"]) for r in filtered.collect()} == {4096}
+
+
+def test_filter_of_bounded_size(spark, monkeypatch):
+    """A lexicon too large for the filter lets more words pass, and no score changes."""
+    monkeypatch.setattr(sentiment, "MOST_BUCKETS", 1)
+    entries = spark.range(60_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"), F.lit(2.0).alias("score"))
+    frame = messages(spark, ["w1 w59999 nothing", "none", "w60000"])
+    scored = sentiment.score_messages_by_join(frame, entries, ["id"], broadcast_chars=0)
+    assert [r["sentiment"] for r in scored.orderBy("id").collect()] == [2.0, 0.0, 0.0]
+    assert "bitmap" in plan_of(scored)

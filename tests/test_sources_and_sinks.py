@@ -190,3 +190,27 @@ def test_root_forms(spark, mail_root):
         assert maildir.read_maildir(spark, form).count() == len(files)
     with pytest.raises(ValueError):
         maildir.read_maildir(spark, "maildir")
+
+
+def test_equality_filters_skip_row_groups_by_bloom_filter(spark, tmp_path):
+    """Message ids stand in no order, so the least and the greatest of a row group tell nothing."""
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("u"), (F.col("id") % 7).cast("string"), F.lit("@corp.example.com")).alias("from"),
+        F.col("id").alias("ts"),
+        F.sha2(F.col("id").cast("string"), 256).alias("mid"),
+    )
+    spark.conf.set("parquet.block.size", str(1 << 18))
+    read = {}
+    try:
+        for name, bloom in (("with", {"mid": 10_000}), ("without", None)):
+            path = str(tmp_path / name)
+            table_sinks.write_table(rows.coalesce(1), path, sort_by=["from", "ts"], bloom=bloom)
+            wanted = spark.range(1).select(F.sha2(F.lit("777"), 256)).first()[0]
+            found = spark.read.parquet(path).where(F.col("mid") == wanted)
+            assert [r["ts"] for r in found.collect()] == [777]
+            plan = found._jdf.queryExecution().executedPlan()
+            scans = plan.collectLeaves()
+            read[name] = scans.apply(0).metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.unset("parquet.block.size")
+    assert read["without"] == 60_000 and read["with"] < 30_000

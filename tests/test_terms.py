@@ -202,3 +202,38 @@ def test_stop_tables_of_any_size_agree(spark, monkeypatch, chars, frequent):
     gone = {"stopped", "word3", "x" * 70}
     expected = sorted((k, w) for k, body in bodies for w in set(body.split()) - gone)
     assert sorted((r["k"], r["word"]) for r in counts) == expected
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bounds_lose_none_of_the_best(spark, seed):
+    """Against the full ranking on messages of very different lengths, ties included."""
+    draw = random.Random(seed)
+    vocabulary = [f"word{i}" for i in range(80)]
+    rows = [
+        (f"s{i}", i, " ".join(draw.choices(vocabulary, weights=[1 / (k + 1) for k in range(80)], k=draw.choice([0, 3, 15, 60, 800]))))
+        for i in range(60)
+    ] + [("null", 0, None)]
+    emails = spark.createDataFrame(rows, "`from` string, ts long, body string")
+    counts = terms.term_counts(emails.where("body is not null"), ["from", "ts"])
+    for n in (1, 3, 10):
+        got = keywords.message_keywords(emails, n=n).collect()
+        wanted = keywords.keywords_of_counts(counts, n).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, wanted))
+
+
+def test_few_rows_reach_the_window(spark):
+    """Of long messages only words near the best are joined and ranked."""
+    words = [f"common{i} " * (40 - i) for i in range(12)] + [f"single{i} " for i in range(500)]
+    rows = [("a", i, "".join(words)) for i in range(20)]
+    emails = spark.createDataFrame(rows, "`from` string, ts long, body string")
+    frequency = terms.message_frequency(emails)
+    reached = terms.reachable_counts(emails, ["from", "ts"], frequency, 10)
+    every = terms.term_counts(emails, ["from", "ts"])
+    assert (reached.count(), every.count()) == (20 * 10, 20 * 512)
+    plan = plan_of(reached)
+    assert "Window" not in plan and "Join" not in plan
+
+
+def test_one_word_vocabulary_has_no_bound(spark):
+    emails = spark.createDataFrame([("a", 1, "apple"), ("b", 1, "apple apple")], "`from` string, ts long, body string")
+    assert terms.reachable_counts(emails, ["from"], terms.message_frequency(emails.limit(1)), 1).count() == 2
