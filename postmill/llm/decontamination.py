@@ -50,10 +50,10 @@ class QueryBlock:
     left: np.ndarray  # words from the window's start to the end of its item, the most over its copies
     owner_from: np.ndarray  # owners of window i: owners[owner_from[i]:owner_from[i + 1]]
     owners: np.ndarray
-    names: list[str]
+    names: list[str | None]
 
 
-def query_block(names: list[str], texts: pa.Array, window: int) -> QueryBlock:
+def query_block(names: list[str | None], texts: pa.Array, window: int) -> QueryBlock:
     data, offsets = text_bytes(texts)
     folded = words.fold(data)
     begins, ends, counts = words.word_spans(folded, offsets)
@@ -200,7 +200,8 @@ def _note_items(items: dict[int, set[str]], text: np.ndarray, window_of: np.ndar
     owners = block.owner_from[pairs[:, 1] + 1] - block.owner_from[pairs[:, 1]]
     owned = block.owners[ranges(block.owner_from[pairs[:, 1]], owners)]
     for t, i in np.unique(np.stack([np.repeat(pairs[:, 0], owners), owned], 1), axis=0):
-        items.setdefault(int(t), set()).add(block.names[i])
+        if block.names[i] is not None:
+            items.setdefault(int(t), set()).add(block.names[i])
 
 
 def _full_length(symbols, places, window_of, reach, block) -> np.ndarray:
@@ -221,7 +222,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int, item: str, text: str, bl
     """One broadcast for each ``block_bytes`` of benchmark text; items are dealt by hash."""
     spark = benchmark.sparkSession
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    rows = rows.where("item is not null and text is not null").distinct()
+    rows = rows.where("text is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
     out = []
@@ -250,8 +251,9 @@ def with_matches(
 
     A window is ``window`` consecutive words of an item; an item of fewer words is
     one window.  A null or empty text has no words and no hits; so has any text if
-    the benchmark is empty.  Items with a null id or text take no part.  Repeated
-    rows each get their own, equal, result.
+    the benchmark is empty.  Items with a null text take no part; those without an id
+    count for the hits and have no name among ``items``.  Repeated rows each get their
+    own, equal, result.
     """
     blocks = benchmark_blocks(benchmark, window, item, item_text, block_bytes)
     return append_columns(docs, lambda batch: scan(batch.column(text), blocks, window), FIELDS)

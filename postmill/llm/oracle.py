@@ -77,7 +77,7 @@ _WORDS = (
 )
 
 OP5 = f"""with item_words as (
-  select item_id, {_WORDS.format("text")} as words from benchmark where text is not null and item_id is not null),
+  select item_id, {_WORDS.format("text")} as words from benchmark where text is not null),
 items as (
   select item_id, least(len(words), 10) as size, words from item_words where len(words) > 0),
 windows as (
@@ -96,7 +96,7 @@ hit as (
   from (select doc_id, unnest(range(i, i + size)) as place from matches) group by doc_id),
 named as (
   select doc_id, count(*) as n_items, string_agg(name, ',' order by name) as names
-  from (select distinct doc_id, cast(item_id as varchar) as name from matches) group by doc_id)
+  from (select distinct doc_id, cast(item_id as varchar) as name from matches where item_id is not null) group by doc_id)
 select d.doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(names, '')) as items_sha256, n_hit is not null as contaminated
 from doc_words d left join hit h on d.doc_id = h.doc_id left join named n on d.doc_id = n.doc_id"""

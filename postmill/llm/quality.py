@@ -118,6 +118,9 @@ def fit_model(
 
     The sample is the rows of least hash; it is bounded, so it may be broadcast, and
     only its statistics reach the driver.  Rows with a null id or label are left out.
+    Documents that share a labelled id count once, by the least of their texts, so
+    copies do not make the sample larger; a null text is as empty.  Without any
+    labelled document the model has no trees and one score for all.
     """
     chosen = (
         labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
@@ -126,7 +129,9 @@ def fit_model(
         .orderBy(F.xxhash64("__id"), "__id", "__label")
         .limit(sample_rows)
     )
-    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
+    # Of an id's documents one text passes, chosen in each task before the shuffle.
+    rows = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+    rows = rows.join(F.broadcast(chosen), "__id").groupBy("__id", "__label").agg(F.min("__text").alias("__text"))
     made = append_columns(
         rows,
         lambda batch: [pa.array(list(statistics(batch.column("__text"))), pa.list_(pa.float64()))],
@@ -143,8 +148,9 @@ def fit_model(
 def with_score(docs: DataFrame, model: trees.Forest, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` and the probability of label 1 for each whole text.
 
-    The new column replaces one of its name.  Null and empty texts are scored as
-    texts without any character; equal texts have equal scores.
+    The new column replaces one of its name; other columns may have any name.  Null and
+    empty texts are scored as texts without any character; equal texts, repeated rows
+    included, have equal scores.  An empty table gives no rows.
     """
     forest = docs.sparkSession.sparkContext.broadcast(model)
     return append_columns(

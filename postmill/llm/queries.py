@@ -22,7 +22,7 @@ from postmill.llm import (
     suffix_dedup,
     urls,
 )
-from postmill.llm.common import read_table
+from postmill.llm.common import read_table, written
 
 URL_RULES = [
     urls.host_rule("allow", "org/"),
@@ -54,9 +54,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    mapping = shards.balance(shards.collect_sizes(docs), SHARDS)
-    assigned = shards.assign(docs, mapping, version=1)
-    narrow = assigned.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))).drop("text")
+    spread = shards.hot_hashes(docs)
+    mapping = shards.balance(shards.collect_sizes(docs, spread=spread), SHARDS)
+    assigned = shards.assign(docs, mapping, version=1, spread=spread)
+    narrow = written(assigned.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))).drop("text"))
     return shards.with_positions(narrow).select(
         "doc_id",
         "size",
@@ -132,6 +133,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate("removed", F.lit(0).cast("long"), lambda n, span: n + span["length"]).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("removed") > 0).alias("repeated"),
     )
 
 

@@ -28,20 +28,53 @@ def record_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def slot_of(doc_id: Column, text: Column, slots: int = SLOTS) -> Column:
-    """The virtual slot of a record, by hash of its id, or of its text where that is null."""
-    return F.pmod(F.xxhash64(F.coalesce(doc_id.cast("string"), text, F.lit(""))), F.lit(slots)).cast("int")
+def record_hash(doc_id: Column, text: Column) -> Column:
+    """Hash of a record's id, or of its text where that is null."""
+    return F.xxhash64(F.coalesce(doc_id.cast("string"), text, F.lit("")))
 
 
-def slot_sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
+def slot_of(doc_id: Column, text: Column, slots: int = SLOTS, spread: Sequence[int] = ()) -> Column:
+    """The virtual slot of a record, by its hash; records of the hashes in ``spread`` are dealt
+    over all slots by where they stand in the table."""
+    own = record_hash(doc_id, text)
+    slot = F.pmod(own, F.lit(slots))
+    if spread:
+        one_by_one = F.pmod(F.xxhash64(own, F.monotonically_increasing_id()), F.lit(slots))
+        slot = F.when(own.isin(list(spread)), one_by_one).otherwise(slot)
+    return slot.cast("int")
+
+
+def slot_sizes(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS, spread: Sequence[int] = ()
+) -> DataFrame:
     """Bytes and records of each slot that has any."""
+    slot = slot_of(docs[f"`{doc_id}`"], docs[f"`{text}`"], slots, spread)
     return (
-        docs.select(slot_of(F.col(doc_id), F.col(text), slots).alias("virtual_slot"), record_size(F.col(text)).alias("size"))
+        docs.select(slot.alias("virtual_slot"), record_size(docs[f"`{text}`"]).alias("size"))
         .groupBy("virtual_slot")
         .agg(F.sum("size").alias("bytes"), F.count("*").alias("records"))
     )
 
 
+def hot_hashes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> list[int]:
+    """Hashes of several records that hold twice a slot's fair share of the bytes: no shard could
+    take such a slot and keep the law.
+
+    Only slots of so many bytes can hold one, and there are at most half as many such
+    hashes as slots.  A single record is never parted.
+    """
+    sizes = collect_sizes(docs, doc_id=doc_id, text=text, slots=slots)
+    bound = 2 * sum(sizes.values()) / slots
+    heavy = sorted(slot for slot, size in sizes.items() if size > bound)
+    if not heavy:
+        return []
+    own = record_hash(docs[f"`{doc_id}`"], docs[f"`{text}`"])
+    rows = docs.select(own.alias("hash"), record_size(docs[f"`{text}`"]).alias("size"))
+    held = rows.where(F.pmod("hash", F.lit(slots)).isin(heavy)).groupBy("hash")
+    found = held.agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).where(F.col("n") > 1)
+    return sorted(row["hash"] for row in found.where(F.col("bytes") > bound).collect())
+
+
 def balance(sizes: dict[int, int], shards: int, slots: int = SLOTS) -> list[int]:
     """A first map: the slots, largest first, each to the shard that has the fewest bytes."""
     heap = [(0, shard) for shard in range(shards)]
@@ -112,17 +145,26 @@ def collect_sizes(docs: DataFrame, **names) -> dict[int, int]:
 
 
 def assign(
-    docs: DataFrame, mapping: Sequence[int], version: int = 0, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, mapping: Sequence[int], version: int = 0, doc_id: str = "doc_id", text: str = "text",
+    spread: Sequence[int] = (),
 ) -> DataFrame:
-    """``docs`` and ``size``, ``shard``, ``virtual_slot``, ``map_version``; no shuffle."""
+    """``docs`` and ``size``, ``shard``, ``virtual_slot``, ``map_version``; no shuffle.
+
+    The new columns replace columns of their names, whatever the case.  A null text has
+    the size 1; a record without an id is placed by its text, one without either in the
+    slot of the empty text.  Repeated rows are placed together, unless their hash is in
+    ``spread`` (:func:`hot_hashes`); store the result then before it is used twice.  An
+    empty table gives no rows.
+    """
     new = {"size", "shard", "virtual_slot", "map_version"}
     kept = [f"`{c}`" for c in docs.columns if c.lower() not in new]
-    slot = slot_of(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), len(mapping))
-    return docs.select(
+    slot = slot_of(docs[f"`{doc_id}`"], docs[f"`{text}`"], len(mapping), spread)
+    slotted = docs.select(*kept, record_size(docs[f"`{text}`"]).alias("size"), slot.alias("virtual_slot"))
+    return slotted.select(
         *kept,
-        record_size(F.col(f"`{text}`")).alias("size"),
-        F.get(_literal(mapping), slot).cast("int").alias("shard"),
-        slot.alias("virtual_slot"),
+        "size",
+        F.get(_literal(mapping), F.col("virtual_slot")).cast("int").alias("shard"),
+        "virtual_slot",
         F.lit(version).alias("map_version"),
     )
 
@@ -132,15 +174,22 @@ def with_positions(assigned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
     The records of a shard stand by virtual slot, part of the slot, and id.  Only the
     parts are ranked by a window; how many records stand before a part is summed up
-    from one count a part.  Records of one id are ranked in any order.
+    from one count a part.  Records of one id, repeated rows included, and those without
+    an id are ranked in any order.  ``position`` replaces a column of its name; other
+    columns may have any name.  An empty table gives no rows.
     """
-    keyed = assigned.withColumn("__part", F.pmod(F.xxhash64(doc_id, "size"), F.lit(RANK_PARTS)).cast("int"))
-    counts = keyed.groupBy("shard", "virtual_slot", "__part").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("shard").orderBy("virtual_slot", "__part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("virtual_slot", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy("virtual_slot", "__part").orderBy(doc_id)
-    ranked = keyed.withColumn("__rank", F.row_number().over(within) - 1)
+    part = F.pmod(F.xxhash64(f"`{doc_id}`", "size"), F.lit(RANK_PARTS)).cast("int")
+    columns = [c for c in assigned.columns if c.lower() != "position"]
+    keyed = assigned.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "shard", "virtual_slot", part.alias("part"),
+        F.col(f"`{doc_id}`").alias("id"),
+    )
+    counts = keyed.groupBy("shard", "virtual_slot", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("virtual_slot", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy("virtual_slot", "part").orderBy("id")
+    ranked = keyed.withColumn("rank", F.row_number().over(within) - 1)
     # One row a part: slots x parts of them at most, about 1 MB.
-    placed = ranked.join(F.broadcast(begins), ["virtual_slot", "__part"])
-    position = (F.col("__before") + F.col("__rank")).cast("long")
-    return placed.select(*[f"`{c}`" for c in assigned.columns if c != "position"], position.alias("position"))
+    placed = ranked.join(F.broadcast(begins), ["virtual_slot", "part"])
+    position = (F.col("before") + F.col("rank")).cast("long")
+    return placed.select(*[F.col("row").getField(c).alias(c) for c in columns], position.alias("position"))

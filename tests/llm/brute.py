@@ -61,12 +61,12 @@ def leaks(docs: dict, items: list, window: int = 10):
     """doc id to (n_words, n_hit, item ids)."""
     windows: dict = {}
     for name, text in items:
-        if name is None or text is None:
+        if text is None:
             continue
         w = words(text)
         size = min(window, len(w))
         for i in range(len(w) - size + 1 if w else 0):
-            windows.setdefault(tuple(w[i : i + size]), set()).add(str(name))
+            windows.setdefault(tuple(w[i : i + size]), set()).update([] if name is None else [str(name)])
     sizes = {len(w) for w in windows}
     out = {}
     for doc, text in docs.items():
@@ -74,7 +74,7 @@ def leaks(docs: dict, items: list, window: int = 10):
         for size in sizes:
             for i in range(len(w) - size + 1):
                 found = windows.get(tuple(w[i : i + size]))
-                if found:
+                if found is not None:
                     hit.update(range(i, i + size))
                     names |= found
         out[doc] = len(w), len(hit), sorted(names)

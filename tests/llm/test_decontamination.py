@@ -40,7 +40,7 @@ def test_odd_rows(spark):
     items = [(1, "one two"), (2, None), (None, "three"), (3, ""), (4, "..."), (5, "one two")]
     out = found(spark, docs, items)
     assert out[None] == (0, 0, []) and out[1] == (0, 0, []) and out[2] == (0, 0, [])
-    assert out[3] == (2, 2, ["1", "5"]) and out[4] == (60_000, 40_000, ["1", "5"])
+    assert out[3] == (2, 2, ["1", "5"]) and out[4] == (60_000, 60_000, ["1", "5"])  # "three" has no id
     assert found(spark, docs[:4], [])[3] == (2, 0, [])
     assert found(spark, [], items) == {}
 
@@ -61,6 +61,17 @@ def test_spans_and_longest_match(spark):
     assert [tuple(h) for h in frame["hits"]] == [(1, 20), (22, 10)] and frame["longest_match"] == 20
 
 
+def test_items_without_an_id_count_for_hits_alone(spark):
+    passage = " ".join(f"w{i}" for i in range(11))
+    items = [(None, passage), (None, passage), (None, "x y"), (8, "y z")]
+    docs = [(1, f"a {passage} b"), (2, "x y z"), (3, "none")]
+    out = found(spark, docs, items)
+    assert out == brute.leaks(dict(docs), items)
+    assert out == {1: (13, 11, []), 2: (3, 3, ["8"]), 3: (1, 0, [])}
+    kept = decontamination.decontaminate(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    assert [r["doc_id"] for r in kept.collect()] == [3]
+
+
 def test_removal_keeps_the_columns(spark):
     docs = spark.createDataFrame([(1, "a b c", "q"), (2, "d", "r"), (None, None, None)], "doc_id long, text string, items string")
     kept = decontamination.decontaminate(docs, spark.createDataFrame([(1, "a b")], ITEMS))

@@ -18,6 +18,50 @@ def test_flat_trees_learn_a_rule():
     assert ((forest.score(x[2000:]) >= 0.5) == y[2000:]).mean() > 0.95
 
 
+def walked(forest, row):
+    """The score of one row, node by node."""
+    total = forest.base
+    for node in forest.roots.tolist():
+        while forest.left[node] != node:
+            side = forest.left if row[forest.feature[node]] <= forest.threshold[node] else forest.right
+            node = int(side[node])
+        total += forest.value[node]
+    return 1 / (1 + np.exp(-min(max(total, -40), 40)))
+
+
+def test_flat_traversal_equals_a_walk_of_each_tree():
+    rng = np.random.default_rng(2)
+    x = np.round(rng.random((400, 5)), 1)  # many values lie on a threshold
+    y = (x[:, 1] + rng.random(400) * 0.5 > 0.7).astype(float)
+    for depth in (1, 3, 5):
+        forest = trees.fit(x, y, trees=12, depth=depth)
+        assert np.allclose(forest.score(x), [walked(forest, row) for row in x], rtol=0, atol=1e-12)
+
+
+def test_query_scores_equal_a_walk(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    model = quality.fit_model(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    found = {r["doc_id"]: r for r in queries.op6_quality(spark, SMALL).collect()}
+    assert found.keys() == texts.keys()
+    rows = quality.statistics(pa.array(list(texts.values()), pa.string()))
+    for doc, row in zip(texts, rows, strict=True):
+        score = walked(model, row)
+        assert abs(found[doc]["score"] - score) < 1e-9
+        assert found[doc]["predicted"] == int(found[doc]["score"] >= 0.7)
+        assert found[doc]["held_out"] == (zlib.crc32(str(doc).encode()) % 4 == 2)
+
+
+def test_copies_of_a_labelled_id_count_once(spark):
+    """A third of the rows have one labelled id: the fitted rows are as many as the labels."""
+    base = [(i, f"text {i} " * (i % 7 + 1)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    once = quality.fit_model(spark.createDataFrame(base, "doc_id long, text string"), labels)
+    copied = spark.createDataFrame(base + [base[3]] * 30, "doc_id long, text string")
+    many = quality.fit_model(copied, labels)
+    assert np.array_equal(once.value, many.value) and np.array_equal(once.threshold, many.threshold)
+
+
 @pytest.mark.parametrize("y", [[], [1.0, 1.0], [0.0]])
 def test_no_rows_or_one_class(y):
     forest = trees.fit(np.zeros((len(y), 3)), np.array(y))

@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 from postmill.llm import queries, shards
+from postmill.llm.common import written
 from tests.conftest import SMALL
 from tests.llm import brute
 
@@ -65,3 +66,39 @@ def test_records_without_an_id_are_spread(spark):
     mapping = shards.balance(shards.collect_sizes(docs), 8)
     held = Counter(r["shard"] for r in shards.assign(docs, mapping).collect())
     assert len(held) == 8 and max(held.values()) <= 52
+
+
+def test_the_law_holds_with_a_third_of_the_rows_under_one_id(spark):
+    """Also where these rows are equal, or have no id but one text."""
+    for hot in ((7, "hot"), (7, None), (None, "copied text")):
+        rows = [(i + 1000, f"text of {i}" * (i % 3 + 1)) for i in range(20_000)]
+        rows += [(hot[0], hot[1] or f"own {i}") for i in range(10_000)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        spread = shards.hot_hashes(docs)
+        assert len(spread) == 1
+        mapping = shards.balance(shards.collect_sizes(docs, spread=spread), 8)
+        assigned = written(shards.assign(docs, mapping, spread=spread))
+        held = Counter()
+        out = shards.with_positions(assigned).collect()
+        for r in out:
+            held[r["shard"]] += r["size"]
+        assert max(held.values()) - min(held.values()) < 0.01 * sum(held.values()) / 8
+        assert sum(held.values()) == sum(len(t) + 1 for _, t in rows)
+        for shard in range(8):
+            places = sorted(r["position"] for r in out if r["shard"] == shard)
+            assert places == list(range(len(places)))
+
+
+def test_single_large_records_are_not_hot(spark):
+    docs = spark.createDataFrame([(1, "x" * 10_000)] + [(i, "y") for i in range(2, 500)], "doc_id long, text string")
+    assert shards.hot_hashes(docs) == []
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "a")], "doc_id long, text string").selectExpr(
+        "*", "'mine' as __part", "'mine' as part", "'mine' as rank", "'mine' as row", "'mine' as POSITION", "'mine' as n", "'mine' as id"
+    )
+    out = shards.with_positions(shards.assign(docs, [0, 1, 0, 1]))
+    assert out.columns == ["doc_id", "text", "__part", "part", "rank", "row", "n", "id", "size", "shard", "virtual_slot", "map_version", "position"]
+    assert sorted(r["position"] for r in out.collect()) == [0, 1]
+    assert all(r["part"] == r["id"] == "mine" for r in out.collect())
