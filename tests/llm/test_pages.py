@@ -74,3 +74,47 @@ def test_repeated_rows_clashes_and_empty_table(spark):
 )
 def test_wrappers_do_not_swallow_the_page(page, text):
     assert pages.main_text(page) == text
+
+
+SHAPES = [
+    (f"<div class='notice-board-article'><p>{LONG}</p></div>", LONG),
+    (f"<form id=aspnetForm><p>{LONG}</p><p>Short.</p></form>", f"{LONG}\nShort."),
+    (f"<article><div class='search-engines-history'><p>{LONG}</p></div><p data-x='not hidden here'>Kept.</p></article>", f"{LONG}\nKept."),
+    ("<article><p>I <label>agree</label> with it</p></article>", "I agree with it"),
+    (f"<div><p>{LONG}</p><p>Copyright law protects works.</p><p>End.</p></div>", f"{LONG}\nCopyright law protects works.\nEnd."),
+    (f"<div><p>{LONG}</p><p><a href=x>A paragraph that is one link</a>.</p></div>", f"{LONG}\nA paragraph that is one link."),
+    (
+        f"<div><p>{LONG}</p><div class=ad>Buy</div><ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>More</a></ul><p>End.</p></div>",
+        f"{LONG}\nEnd.",
+    ),
+    (f"<article><p>{LONG} {LONG}</p></article><article><p>Teaser of another.</p></article>", f"{LONG} {LONG}"),
+    (f"<main><article><p>{LONG}</p><p>{LONG}</p></article><article><p>Teaser</p></article></main>", f"{LONG}\n{LONG}"),
+    (f"<main><h1>Title</h1><p>{LONG}</p><aside>x</aside></main><p>out</p>", f"Title\n{LONG}"),
+    (f"<article><p>{LONG}</p></article><article><p>{LONG} Two.</p></article>", f"{LONG}\n{LONG} Two."),
+    # Pages without a mark.
+    (f"<div class=comments>{f'<p>{LONG}</p>' * 9}</div><div><p>{LONG}</p></div>", LONG),
+    (f"<div class='post-comments'><p>First!</p></div><div><p>{LONG}</p></div>", LONG),
+    (f"<div class='related-articles'><p>{LONG}</p></div><div><p>{LONG} x</p></div>", f"{LONG} x"),
+    (f"<div class='ad-container'><p>Buy {LONG}</p></div><div><p>{LONG}</p></div>", LONG),
+    (f"<table><tr><td>{LONG}</td></tr></table>", LONG),
+    (f"<p style='display: none'>gone</p><p>{LONG}</p>", LONG),
+    (f"<p>{LONG}</p><p>Copyright 2020 Someone</p><p>All rights reserved.</p>", LONG),
+    (f"<div><p><a href=a>Home</a> <a href=b>News</a> <a href=c>About</a></p></div><div><p>{LONG}</p></div>", LONG),
+    (f"<body class='has-sidebar no-widget'><div id=content><h2>Head</h2><p>{LONG}</p></div></body>", f"Head\n{LONG}"),
+    (f"<section role=banner><p>Sale!</p></section><section><p>{LONG}</p></section>", LONG),
+    (f"<blockquote>{LONG}</blockquote><div id='social-share'>Share</div><pre>x = 1</pre>", f"{LONG}\nx = 1"),
+    (f"<div class='newsletter-signup-box'><p>Join</p></div><div class='storyBody'><p>{LONG}</p></div>", LONG),
+]
+
+
+@pytest.mark.parametrize("page, text", SHAPES)
+def test_shapes_of_pages(page, text):
+    assert pages.main_text(page) == text
+
+
+def test_sums_decide_inside_a_mark_as_elsewhere(monkeypatch):
+    """A mark lifts each of its lines over the surge; without that weight short lines would go."""
+    page = f"<article><p>{LONG}</p><nav>x</nav>" + "<nav>y</nav>" * 3 + "<div><p>Short.</p></div></article>"
+    assert pages.main_text(page) == f"{LONG}\nShort."
+    unmarked = page.replace("article", "section")
+    assert pages.main_text(unmarked) == LONG
