@@ -14,7 +14,7 @@ once.  No list of terms or documents reaches the driver.
 
 from __future__ import annotations
 
-import re
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postmill.llm.common import ASCII_LOWER, ASCII_UPPER, ship_package, written
+from postmill.llm.common import ship_package, written
 
-#: Letters A to Z and everything beyond ASCII.
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: Terms are runs of the letters A to Z, lower-cased, and of everything beyond ASCII (all bytes
+#: of such a character are above 127); every other byte parts them, as a space does.
+_TERM_BYTES = bytes(b if 97 <= b < 123 or b > 127 else b + 32 if 65 <= b < 91 else 32 for b in range(256))
 LEAST_DOCUMENTS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
@@ -37,10 +38,12 @@ SHARD_TERMS = 2048
 BLOCK_TERMS = 128
 #: Indicator columns that are multiplied at a time; a product has the square of it, at most.
 TILE_COLUMNS = 2048
-#: Different (lang, source, term) that a task holds before it gives out its counts.
-HELD = 300_000
-
-_LOWER = str.maketrans(ASCII_UPPER, ASCII_LOWER)
+#: Different (lang, source, term) that a task holds before it gives out its counts, about 200
+#: bytes each; and how many it gives out at a time.
+HELD = 800_000
+GIVEN = 50_000
+#: A count and the documents of a term are held in one number: documents above these bits.
+_BITS = 40
 
 
 def _text(docs: DataFrame, column: str) -> Column:
@@ -54,36 +57,42 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     before the shuffle, and give it out when they hold ``HELD`` different rows.
     """
     ship_package(docs.sparkSession)
-    rows = docs.select(_text(docs, lang).alias("lang"), _text(docs, source).alias("source"), _text(docs, text).alias("text"))
+    rows = docs.select(
+        _text(docs, lang).alias("lang"), _text(docs, source).alias("source"), _text(docs, text).cast("binary").alias("text")
+    )
     names = ["lang", "source", "term", "n", "df"]
 
-    def given(held: dict) -> pa.RecordBatch:
-        columns = [[lang for (lang, _), terms in held.items() for _ in terms], [source for (_, source), terms in held.items() for _ in terms]]
-        columns += [[term for terms in held.values() for term in terms]]
-        columns += [[pair[k] for terms in held.values() for pair in terms.values()] for k in (0, 1)]
-        kinds = [pa.string()] * 3 + [pa.int64()] * 2
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+    def given(held: dict[tuple[str, str], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), terms in held.items():
+            for at in range(0, len(terms), GIVEN):
+                part = list(itertools.islice(terms.items(), at, at + GIVEN))
+                both = np.fromiter((x for _, x in part), np.int64, len(part))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.repeat(lang, len(part)),
+                        pa.repeat(source, len(part)),
+                        pa.array([term for term, _ in part], pa.binary()).cast(pa.string()),
+                        pa.array(both & ((1 << _BITS) - 1)),
+                        pa.array(both >> _BITS),
+                    ],
+                    names=names,
+                )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[str, list[int]]] = {}
-        size = 0
+        held: dict[tuple[str, str], dict[bytes, int]] = {}
+        size, one = 0, 1 << _BITS
         for batch in batches:
-            for group, text in zip(zip(*[batch.column(k).to_pylist() for k in (0, 1)], strict=True), batch.column(2), strict=True):
+            groups = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for group, text in zip(groups, batch.column(2), strict=True):
                 terms = held.setdefault(group, {})
-                before = len(terms)
-                for term, n in Counter(TERM.findall(text.as_py().translate(_LOWER))).items():
-                    pair = terms.get(term)
-                    if pair is None:
-                        terms[term] = [n, 1]
-                    else:
-                        pair[0] += n
-                        pair[1] += 1
+                before, get = len(terms), terms.get
+                for term, n in Counter(text.as_py().translate(_TERM_BYTES).split()).items():
+                    terms[term] = get(term, 0) + n + one
                 size += len(terms) - before
                 if size >= HELD:
-                    yield given(held)
+                    yield from given(held)
                     held, size = {}, 0
-        if size:
-            yield given(held)
+        yield from given(held)
 
     counted = rows.mapInArrow(run, "lang string, source string, term string, n long, df long")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
