@@ -66,3 +66,44 @@ def test_query(spark):
     source = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
     rows = [(r["vec_id"], [math.floor(256 * x) for x in r["embedding"]]) for r in source]
     assert found(queries.op7_top_k(spark, SMALL)) == best(rows, lambda i: i % 50 == 0, 5)
+
+
+def test_equal_vectors_spread_over_shards_and_trees_are_built_once(spark, monkeypatch):
+    """A third of the rows are equal: no shard is over the bound, whatever they share."""
+    monkeypatch.setattr(ball_tree, "SHARD_ROWS", 100)
+    monkeypatch.setattr(ball_tree, "FLOOR_ROWS", 100)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-5, 6, 4).astype(float).tolist()) for i in range(1000)]
+    rows += [(2000 + i, rows[1][1]) for i in range(500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    built = []
+    stored = ball_tree.stored_trees
+    monkeypatch.setattr(ball_tree, "stored_trees", lambda *a: built.append(stored(*a)) or built[-1])
+    made = found(ball_tree.top_k(frame, F.col("vec_id") % 100 == 0, 5))
+    assert made == best(rows, lambda i: i % 100 == 0, 5)
+    assert len(built) == 1
+    sizes = [len(r["ids"]) // 8 for r in built[0].collect()]
+    assert sum(sizes) == 1500 and max(sizes) <= 100 + 25 and len(sizes) >= 15
+
+
+def test_the_shared_kth_score_closes_branches():
+    """With the k-th score of another shard most nodes are never looked at, and nothing is lost."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 6)) * 100
+    vectors = np.round(np.repeat(centres, 50, 0) + rng.normal(size=(2000, 6)))
+    tree = ball_tree.build(vectors, np.arange(2000), 16)
+    asked = np.round(centres[:10])
+    scores = asked @ vectors.T
+    own = ball_tree.Best(asked, np.full(10, -1), np.full(10, -np.inf), 3)
+    looked = ball_tree.search(tree, own, np.arange(10))
+    floors = np.sort(scores, 1)[:, -3]
+    shared = ball_tree.Best(asked, np.full(10, -1), floors, 3)
+    less = ball_tree.search(tree, shared, np.arange(10))
+    assert less <= looked < 10 * len(tree.radius) * 0.7
+    for b in (own, shared):
+        for q in range(10):
+            wanted = np.lexsort((np.arange(2000), -scores[q]))[:3]
+            assert b.found[b.at == q].tolist() == wanted.tolist()
+    nothing = ball_tree.Best(asked, np.full(10, -1), scores.max(1) + 1, 3)
+    assert ball_tree.search(tree, nothing, np.arange(10)) < less
+    assert len(nothing.found) == 0
