@@ -11,6 +11,7 @@ from postmill.operators import sentiment
 from postmill.plans import mail_import
 
 DOMAIN = "corp.example.com"
+OTHER_DOMAIN = "partner.example.org"
 
 # A small lexicon of words that are frequent in the given texts.
 LEXICON = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registered.inputs import DOMAIN, LEXICON, SHORT_YEAR_MILLIS, STOP_WORDS
+from registered.inputs import DOMAIN, LEXICON, OTHER_DOMAIN, SHORT_YEAR_MILLIS, STOP_WORDS
 
 _LEXICON_ROWS = ", ".join(f"('{word}', {score})" for word, score in LEXICON)
 _STOP_ROWS = ", ".join(f"('{word}')" for word in STOP_WORDS)
@@ -291,6 +291,11 @@ select conv_id,
 from kept group by conv_id, pos window same as (partition by conv_id)""",
     "weekly_sentiment_sql": ORACLE_SQL["weekly_sentiment"],
     "weekly_event_values_merged": ORACLE_SQL["weekly_event_values"],
+    "words_by_sentiment_from_index": f"""with {_SCORED},
+words as (
+  select regexp_replace("from", '.*@', '') as domain, unnest(string_split(body, ' ')) as word, sentiment from scored)
+select domain, lower(word) as word, round(sum(cast(sentiment as double)), 6) as totalsentiment
+from words where word <> '' and domain in ('{DOMAIN}', '{OTHER_DOMAIN}') group by all""",
     "message_sentiment_by_filter": ORACLE_SQL["message_sentiment"],
     "top_correspondents_by_sketch": ORACLE_SQL["top_correspondents"],
     "message_keywords_of_counts": ORACLE_SQL["message_keywords"],

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postmill import schemas
 from postmill.functions import dates, text
-from postmill.operators import asof, counting, messages, sentiment, term_deltas, terms, versions
+from postmill.operators import asof, counting, messages, postings, sentiment, term_deltas, terms, versions
 from postmill.plans import heavy, keywords, mail_import, reports
 from postmill.session import scratch_folder
 from postmill.sinks import bucketed
@@ -105,6 +105,20 @@ def words_by_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.select("word", F.round("totalsentiment", 6).alias("totalsentiment"))
 
 
+def words_by_sentiment_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for two domains, from one stored index of posting lists."""
+    path = scratch_folder(spark)
+    scored = inputs.scored(spark, sf_dir)
+    postings.write_index(scored, path)
+    parts = [
+        postings.word_totals(spark, path, scored, domain).select(
+            F.lit(domain).alias("domain"), "word", F.round("totalsentiment", 6).alias("totalsentiment")
+        )
+        for domain in (inputs.DOMAIN, inputs.OTHER_DOMAIN)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def message_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.scored(spark, sf_dir).select("from", "ts", "sentiment")
 
@@ -583,6 +597,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         weekly_event_values,
         weekly_event_values_merged,
         words_by_sentiment,
+        words_by_sentiment_from_index,
         message_sentiment,
         message_sentiment_by_join,
         message_sentiment_by_filter,
