@@ -120,8 +120,10 @@ def scan_new(
 ) -> DataFrame:
     """Ledger rows of the blobs that have not been scanned with this version of the rules.
 
-    Copies of a blob are combined before the shuffle.  The rows are stored, as the
-    ledger's next part: append them to it.
+    Copies of a blob are combined before the shuffle, so repeated rows, and different paths
+    or versions of one text, give one row.  A null text is the empty blob; an empty table,
+    or one whose blobs are all in the ledger, gives no rows.  Only the column ``text`` is
+    read.  The rows are stored, as the ledger's next part: append them to it.
     """
     blobs = versions.select(
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("content"), blob_of(F.col(f"`{text}`")).alias("blob")
@@ -140,8 +142,10 @@ def with_findings(
 ) -> DataFrame:
     """``paths`` (or versions) and the ``spans`` found in their content.
 
-    The new column replaces one of its name.  A null text is empty; texts without
-    findings have an empty array; equal texts, whatever their path, have equal spans.
+    The new column replaces one of its name, whatever the case; other columns may have any
+    name but ``__blob`` and ``__spans``.  A null text is empty; texts without findings have
+    an empty array; equal texts, whatever their path, have equal spans, repeated rows
+    included.  An empty table gives no rows.
     """
     found = ledger.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
     found = found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
