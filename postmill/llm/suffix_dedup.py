@@ -39,6 +39,8 @@ from postmill.llm.suffixes import byte_keys, common_prefixes, suffix_array
 
 LENGTH = 400
 ANCHOR = 100
+#: Contents of runs that are broadcast at most, 16 bytes each.
+COMMON = 100_000
 #: Bytes whose runs are found together; a longer text is cut, with overlap.
 CHUNK = 1 << 20
 #: Bytes that a shard sorts together, and different contents of one anchor in a shard.
@@ -405,9 +407,18 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHO
             F.count("*").alias("copies"), F.min(F.struct(*KEY, "start", "n")).alias("at")
         )
     )
-    settled = shared.where("not differ").select(*KEY, "start", "n").union(
-        shared.where("differ").join(contents.where("copies > 1").select("h", "g"), ["h", "g"]).select(*KEY, "start", "n")
+    # A content that many runs share is met by broadcast: shares of the runs sum to one, so at
+    # most COMMON contents have one part in so many.  None of the others is hot in its shuffle.
+    total = contents.agg(F.sum("copies")).first()[0] or 0
+    copied, often = contents.where("copies > 1"), F.col("copies") * COMMON >= total
+    common = F.broadcast(copied.where(often).select("h", "g"))
+    differing = shared.where("differ")
+    rare = differing.join(common, ["h", "g"], "left_anti").join(
+        copied.where(~often).select("h", "g").hint("merge"), ["h", "g"], "left_semi"
     )
+    settled = shared.where("not differ").select(*KEY, "start", "n").union(
+        differing.join(common, ["h", "g"], "left_semi").select(*KEY, "start", "n")
+    ).union(rare.select(*KEY, "start", "n"))
     crowded = written(
         contents.groupBy("h")
         .agg(F.ceil(F.count("*") / F.lit(group)).cast("int").alias("parts"))
