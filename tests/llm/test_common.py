@@ -4,6 +4,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import types as T
 
 from postmill.llm import common
@@ -26,6 +27,16 @@ def test_the_folder_of_the_cluster_is_used():
     common._FOLDERS.pop("none")
 
 
+def test_a_cluster_must_name_its_folder():
+    conf = SimpleNamespace(get=lambda key, *default: {"spark.sql.warehouse.dir": "/w"}.get(key, *default))
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(applicationId="none", master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(session)
+    session.sparkContext.master = "local[2]"
+    assert common.shared_folder(session).startswith("/w/postmill-")
+    common._FOLDERS.pop("none")
+
+
 def test_bytes_of_slices_and_nulls():
     column = pa.array(["x", "é", None, "", "ab"]).slice(1)
     data, offsets = common.text_bytes(column)
