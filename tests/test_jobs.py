@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from postmill.operators import versions
@@ -41,3 +42,20 @@ def test_a_second_scoring_adds_a_newer_version(spark, tmp_path):
     assert cells.count() == 2 * first.count() == 2 * latest.count()
     doubled = first.join(latest, ["from", "message_ts"]).filter(first["value"] * 2 != latest["value"])
     assert doubled.count() == 0
+
+
+def test_scratch_folder_is_a_shared_one():
+    from types import SimpleNamespace
+
+    from postmill.session import scratch_folder
+
+    def session(master, **conf):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, *default: conf.get(name.split(".")[-2], *default)),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    assert scratch_folder(session("local[4]", warehouse="/w")).startswith("/w/postmill-")
+    assert scratch_folder(session("yarn", checkpoint="hdfs:///c/")).startswith("hdfs:///c/postmill-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session("yarn", warehouse="/w"))
