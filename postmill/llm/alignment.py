@@ -31,9 +31,9 @@ from postmill.llm.common import append_columns, ranges, written
 #: Ends of both lists that one piece merges.
 PIECE = 1 << 16
 #: Characters of text that are aligned together; a longer text stands alone.
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 #: Words whose tokens a worker remembers before it begins anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Pairs of ids that are broadcast at most, 16 bytes each and their hash table.
 BROADCAST_PAIRS = 1_000_000
 
@@ -291,10 +291,12 @@ def _counted(document: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> pa.A
     return pa.ListArray.from_arrays(pa.array(offsets), values).cast(pa.list_(pa.field("element", values.type, False)))
 
 
-def _parts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+def _parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch into parts of about ``BATCH_CHARS`` characters; a longer text is a part."""
+    sizes = np.asarray(pc.fill_null(pc.utf8_length(batch.column(batch.schema.get_field_index(text))), 0))
     number = (np.cumsum(sizes, dtype=np.int64) - 1) // BATCH_CHARS
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(sizes)]]).tolist()
-    return ((x, y) for x, y in zip(cuts[:-1], cuts[1:], strict=True) if y > x)
+    return (batch.slice(x, y - x) for x, y in zip(cuts[:-1], cuts[1:], strict=True) if y > x)
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
@@ -313,15 +315,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Data
     """
 
     def made(batch: pa.RecordBatch) -> list[pa.Array]:
-        column = batch.column(batch.schema.get_field_index(text))
-        worker = aligner(a_path, b_path)
-        sizes = np.asarray(pc.fill_null(pc.utf8_length(column), 0))
-        parts = [worker.align(column.slice(x, y - x)) for x, y in _parts(sizes)]
-        if not parts:
-            return worker.align(column)
-        return [pa.concat_arrays(x) for x in zip(*parts, strict=True)]
-
-    return append_columns(docs, made, FIELDS)
+        return aligner(a_path, b_path).align(batch.column(batch.schema.get_field_index(text)))
+
+    return append_columns(docs, made, FIELDS, lambda batch: _parts(batch, text))
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:

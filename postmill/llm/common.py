@@ -27,10 +27,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where that setting is absent (a local session, as in tests) the warehouse
-    folder takes its place.
+    Only in a local session without that setting, as in tests, the warehouse folder
+    takes its place; elsewhere ``ValueError`` is raised.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{base.rstrip('/')}/postmill-{uuid.uuid4().hex}"
     _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(folder)
     return folder
@@ -87,8 +91,10 @@ def append_columns(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], list[pa.Array]],
     fields: list[T.StructField],
+    parts: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]] | None = None,
 ) -> DataFrame:
-    """``df`` and new columns that ``function`` makes of each Arrow batch.
+    """``df`` and new columns that ``function`` makes of each Arrow batch, or of each of the
+    ``parts`` that a batch is cut into, which are then given out one by one.
 
     A column of ``df`` with the name of a new one is replaced.
     """
@@ -99,7 +105,7 @@ def append_columns(
     schema = T.StructType(old + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in (parts(batch) if parts else (batch,))):
             made = function(batch)
             columns = [batch.column(batch.schema.get_field_index(field.name)) for field in old]
             yield pa.RecordBatch.from_arrays(columns + made, names=schema.names)
