@@ -42,8 +42,8 @@ def message_id(raw: Column, profile: str = REFERENCE) -> Column:
     return F.when(bracketed, inner).otherwise(raw)
 
 
-def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
-    """``(path, value)`` to ``path``, the message fields and ``reason``.
+def parse_messages(raw: DataFrame, profile: str = REFERENCE, kept: tuple[str, ...] = ()) -> DataFrame:
+    """``(path, value)`` to ``path``, the message fields and ``reason``, and the columns ``kept`` of ``raw``.
 
     ``reason`` is null for a good message, else the first of ``hidden_name``,
     ``no_date``, ``bad_date``, ``no_id``, ``bad_id`` and ``no_from`` that applies; a
@@ -61,13 +61,14 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
     """
     _check_profile(profile)
     hidden = F.col("value").isNull() & F.col("path").rlike(r"(?:^|/)[_.][^/]*$")
-    whole = raw.select("path", hidden.alias("hidden"), headers.without_tail(headers.unix_lines(F.col("value"))).alias("whole"))
-    split = whole.select("path", "hidden", "whole", headers.header_block(F.col("whole")).alias("head"))
+    whole = raw.select("path", *kept, hidden.alias("hidden"), headers.without_tail(headers.unix_lines(F.col("value"))).alias("whole"))
+    split = whole.select("path", *kept, "hidden", "whole", headers.header_block(F.col("whole")).alias("head"))
     head = F.col("head")
     if profile == INTENDED:
         head = headers.unfold(head)
     fields = split.select(
         "path",
+        *kept,
         "hidden",
         headers.after_head(F.col("whole"), F.col("head")).alias("rest"),
         *[headers.header(head, name).alias(alias) for alias, name in HEADERS.items()],
@@ -78,7 +79,7 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
     # the filter on ``reason`` would be pushed below the projections and the
     # headers and dates would be parsed twice.
     one_row = F.inline(F.array(F.struct("date_text", "id_text", "from", "ts")))
-    parsed = timed.select("path", "hidden", "to", "subject", "x_cc", "x_bcc", "rest", one_row)
+    parsed = timed.select("path", *kept, "hidden", "to", "subject", "x_cc", "x_bcc", "rest", one_row)
     reason = (
         F.when(F.col("hidden"), "hidden_name")
         .when(F.col("date_text").isNull(), "no_date")
@@ -102,6 +103,7 @@ def parse_messages(raw: DataFrame, profile: str = REFERENCE) -> DataFrame:
         bcc.alias("bcc"),
         text.clean_body(headers.body_lines(F.col("rest"))).alias("body"),
         reason.alias("reason"),
+        *kept,
     )
 
 

@@ -75,9 +75,8 @@ def current(parsed: DataFrame) -> DataFrame:
 
 def parse_files(raw: DataFrame, files: DataFrame, load: int, profile: str = messages.REFERENCE) -> DataFrame:
     """Parsed rows of the given files, with what the ledger keeps: ``length``, ``modified``, ``load``."""
-    opened = raw.join(files.select("path"), "path", "left_semi")
-    parsed = messages.parse_messages(opened, profile)
-    return parsed.join(files.select("path", "length", "modified"), "path").withColumn("load", F.lit(load))
+    opened = raw.join(files.select("path", "length", "modified"), "path")
+    return messages.parse_messages(opened, profile, ("length", "modified")).withColumn("load", F.lit(load))
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:

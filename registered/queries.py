@@ -18,7 +18,7 @@ from registered import inputs
 
 KEYS = ["from", "ts"]
 CONVERSATION_KEYS = ["conv_id"]
-BUCKETS = 16
+BUCKETS = 64
 #: Events of one user that stay together; users of more are cut into time slices.
 AS_OF_SLICE = 100_000
 EVENT_TYPES = ["click", "error", "purchase"]
