@@ -37,6 +37,8 @@ def write_buckets(table: DataFrame, path: str, keys: list[str], buckets: int) ->
     """
     if buckets < 1:
         raise ValueError("a table has at least one bucket")
+    if BUCKET in map(str.lower, table.columns):
+        raise ValueError(f"the name {BUCKET!r} is that of the folders")
     spark = table.sparkSession
     rows = table.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", F.col(BUCKET))
     _write(rows, path, keys, "errorifexists")
@@ -80,10 +82,10 @@ def merged_buckets(spark: SparkSession, path: str, load: DataFrame) -> DataFrame
     incoming = load.withColumn(BUCKET, bucket_of(keys, buckets))
     lacking = {c: F.lit(None).cast(stored.schema[c].dataType) for c in columns if c not in load.columns}
     incoming = incoming.withColumns(lacking) if lacking else incoming
-    both = stored.select(BUCKET, *keys, *columns, F.lit(0).alias("load")).unionByName(
-        incoming.select(BUCKET, *keys, *columns, F.lit(1).alias("load"))
+    both = stored.select(BUCKET, *keys, *columns, F.lit(0).alias("__load")).unionByName(
+        incoming.select(BUCKET, *keys, *columns, F.lit(1).alias("__load"))
     )
-    return versions.upsert(both.repartition(BUCKET), [BUCKET, *keys], "load", columns)
+    return versions.upsert(both.repartition(BUCKET), [BUCKET, *keys], "__load", columns)
 
 
 def upsert_buckets(load: DataFrame, path: str) -> list[int]:

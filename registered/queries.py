@@ -18,7 +18,9 @@ from registered import inputs
 
 KEYS = ["from", "ts"]
 CONVERSATION_KEYS = ["conv_id"]
+#: Buckets of the stored table at least; of larger tables one holds so many messages.
 BUCKETS = 64
+BUCKET_ROWS = 20_000
 #: Events of one user that stay together; users of more are cut into time slices.
 AS_OF_SLICE = 100_000
 EVENT_TYPES = ["click", "error", "purchase"]
@@ -304,7 +306,8 @@ def merged_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upserted_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, with the table stored in hash buckets, of which the load rewrites its own."""
     path = scratch_folder(spark)
-    bucketed.write_buckets(inputs.emails(spark, sf_dir), path, KEYS, BUCKETS)
+    buckets = max(BUCKETS, -(-inputs.table(spark, sf_dir, "documents").count() // BUCKET_ROWS))
+    bucketed.write_buckets(inputs.emails(spark, sf_dir), path, KEYS, buckets)
     bucketed.upsert_buckets(_load_again(bucketed.read_buckets(spark, path)), path)
     return bucketed.read_buckets(spark, path)
 

@@ -79,3 +79,15 @@ def test_plan_reads_the_touched_buckets_and_deals_once(spark, table):
     [scan] = [line for line in plan.splitlines() if "FileScan" in line]
     assert "PartitionFilters: [isnotnull(bucket" in scan and "bucket#" in scan.split("PartitionFilters")[1].split("]")[0]
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_names_that_clash(spark, tmp_path):
+    frame = spark.createDataFrame([("k", 1, 2)], "k string, load int, __n int")
+    path = str(tmp_path / "clash")
+    bucketed.write_buckets(frame, path, ["k"], 2)
+    bucketed.upsert_buckets(spark.createDataFrame([("k", 5)], "k string, load int"), path)
+    assert bucketed.read_buckets(spark, path).select("k", "load", "__n").collect() == [("k", 5, 2)]
+    with pytest.raises(ValueError, match="bucket"):
+        bucketed.write_buckets(frame.withColumn("Bucket", F.lit(1)), str(tmp_path / "no"), ["k"], 2)
+    with pytest.raises(ValueError, match="at least one"):
+        bucketed.write_buckets(frame, str(tmp_path / "no"), ["k"], 0)
