@@ -4,6 +4,9 @@ Messages are numbered in the order of their domain.  A word's postings lie in bl
 ``BLOCK`` message numbers: a block holds the first number, the gaps between the following
 ones and how often the word stands in each message.  No block has more than ``BLOCK``
 entries, so a word of every message is many blocks, in many tasks.
+
+Blocks are the unit of work throughout: the scores of a block's messages are one bounded
+array, and a word's share of a total is summed inside its block's row.
 """
 
 from __future__ import annotations
@@ -11,70 +14,107 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.functions import text
 from postmill.operators import terms
 
 BLOCK = 256
-#: Blocks of one domain that are broadcast, at most.
-BROADCAST_BLOCKS = 1_000_000
+#: Blocks of scores (of at most ``BLOCK`` doubles with a mark each) that are broadcast, at most.
+BROADCAST_BLOCKS = 4096
+#: A posting while it is gathered: its place in the block and, below, its count.
+PLACE = 1 << 32
 
 
-def write_index(emails: DataFrame, path: str) -> None:
+def write_index(emails: DataFrame, path: str, kept: tuple[str, ...] = ()) -> None:
     """Store the index of a table of messages: ``messages`` and ``postings``.
 
-    ``messages`` has ``from``, ``ts``, ``from_domain``, ``number`` and the sorted words of
-    the first sentence, lower-case; numbers of one domain follow each other.  They are
-    fixed by storing them: the postings are made from the stored table.
+    ``messages`` has ``from``, ``ts``, ``from_domain``, ``number``, the columns ``kept`` and
+    the sorted words of the first sentence, lower-case; numbers of one domain follow each
+    other.  They are fixed by storing them: the postings are made from the stored table.
+    The shuffle carries the bodies, which are smaller than arrays of their words.
     """
     spark = emails.sparkSession
-    words = F.transform(text.first_sentence_words(F.col("body")), lambda w: F.lower(w))
-    rows = emails.select("from", "ts", text.domain_of(F.col("from")).alias("from_domain"), F.sort_array(words).alias("words"))
+    rows = emails.select("from", "ts", text.domain_of(F.col("from")).alias("from_domain"), *kept, "body")
     placed = rows.repartitionByRange("from_domain", "from", "ts").sortWithinPartitions("from_domain", "from", "ts")
-    placed.withColumn("number", F.monotonically_increasing_id()).write.parquet(f"{path}/messages")
+    words = F.transform(text.first_sentence_words(F.col("body")), lambda w: F.lower(w))
+    numbered = placed.withColumns({"words": F.sort_array(words), "number": F.monotonically_increasing_id()})
+    numbered.drop("body").write.parquet(f"{path}/messages")
     stored = spark.read.parquet(f"{path}/messages").where(F.col("words").isNotNull())
     blocks(terms.run_lengths(stored.select("number", "words"), ["number"])).write.parquet(f"{path}/postings")
 
 
+def _block() -> Column:
+    return F.floor(F.col("number") / BLOCK).alias("block")
+
+
 def blocks(counts: DataFrame) -> DataFrame:
-    """(``number``, ``word``, ``tf``) rows to ``word``, ``block``, ``first``, ``gaps``, ``tfs``."""
-    entry = F.struct(F.col("number"), F.col("tf").cast("int").alias("tf"))
-    numbered = counts.groupBy("word", F.floor(F.col("number") / BLOCK).alias("block"))
-    sorted_ = numbered.agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    """(``number``, ``word``, ``tf``) rows to ``word``, ``block``, ``first``, ``gaps``, ``tfs``.
+
+    A posting is one number until its block is complete, so that the shuffle is small.
+    """
+    entry = (F.col("number") % BLOCK) * PLACE + F.col("tf")
+    sorted_ = counts.groupBy("word", _block()).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    places = F.transform("entries", lambda e: F.floor(e / PLACE).cast("int"))
+    tfs = F.transform("entries", lambda e: (e % PLACE).cast("int"))
+    placed = sorted_.select("word", "block", places.alias("places"), tfs.alias("tfs"))
     gap = F.transform(
-        F.slice("entries", F.lit(2), F.size("entries")),
-        lambda e, i: (e["number"] - F.get("entries", i)["number"]).cast("int"),
+        F.slice("places", F.lit(2), F.size("places")), lambda place, i: place - F.get("places", i)
     )
-    return sorted_.select(
-        "word", "block", F.get("entries", F.lit(0))["number"].alias("first"), gap.alias("gaps"), F.col("entries.tf").alias("tfs")
-    ).sortWithinPartitions("block", "word")
+    first = F.col("block") * BLOCK + F.get("places", F.lit(0))
+    return placed.select("word", "block", first.alias("first"), gap.alias("gaps"), "tfs").sortWithinPartitions("block", "word")
 
 
-def entries(postings: DataFrame) -> DataFrame:
-    """Blocks back to ``word``, ``number``, ``tf``."""
-    numbers = F.aggregate(
+def _numbers() -> Column:
+    return F.aggregate(
         "gaps", F.array("first"), lambda so_far, gap: F.concat(so_far, F.array(F.element_at(so_far, -1) + gap))
     )
-    both = F.arrays_zip(numbers.alias("number"), F.col("tfs").alias("tf"))
+
+
+def entries(postings: DataFrame) -> DataFrame:
+    """Blocks back to ``word``, ``number``, ``tf``."""
+    both = F.arrays_zip(_numbers().alias("number"), F.col("tfs").alias("tf"))
     return postings.select("word", F.inline(both))
 
 
-def word_totals(spark: SparkSession, path: str, scored: DataFrame, domain: str) -> DataFrame:
+def block_scores(messages: DataFrame) -> DataFrame:
+    """``block``, ``low`` and ``scores`` from ``number``, ``hit`` and ``sentiment`` of one domain's messages.
+
+    Numbers of a domain follow each other inside a block, so ``scores`` has a place for each
+    from ``low`` on; a message without ``hit`` is to count for nothing.
+    """
+    entry = F.struct("number", "hit", F.col("sentiment").cast("double").alias("sentiment"))
+    placed = messages.groupBy(_block()).agg(F.sort_array(F.collect_list(entry)).alias("scores"))
+    return placed.select("block", F.get("scores", F.lit(0))["number"].alias("low"), "scores")
+
+
+def word_totals(spark: SparkSession, path: str, scored: DataFrame | None, domain: str) -> DataFrame:
     """``reports.words_by_sentiment`` of one domain from the stored index; no body is read.
 
-    ``scored`` has ``from``, ``ts`` (unique) and ``sentiment``.  Only blocks in which the
-    domain has messages are decoded.
+    ``scored`` has ``from``, ``ts`` (unique) and ``sentiment``; None takes the ``sentiment``
+    that the index has kept.  Only blocks in which the domain has messages are read on, and
+    a word's occurrences in a block are weighed inside its row, against the block's scores:
+    no posting becomes a row, and what is shuffled are sums.
     """
-    messages = spark.read.parquet(f"{path}/messages").where(F.col("from_domain") == domain).select("from", "ts", "number")
-    score = scored.select(F.col("from").alias("__from"), F.col("ts").alias("__ts"), "sentiment")
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("from", "ts")])
-    values = messages.join(score, same).select("number", "sentiment")
-    touched = messages.select(F.floor(F.col("number") / BLOCK).alias("block")).distinct()
-    if touched.count() <= BROADCAST_BLOCKS:
-        touched = F.broadcast(touched)
-    postings = spark.read.parquet(f"{path}/postings").join(touched, "block", "left_semi")
-    weighed = entries(postings).join(values.hint("merge"), "number")
-    totals = weighed.groupBy("word").agg(F.sum(F.col("sentiment").cast("double") * F.col("tf")).alias("totalsentiment"))
-    return totals.orderBy("totalsentiment", "word")
+    stored = spark.read.parquet(f"{path}/messages").where(F.col("from_domain") == domain)
+    if scored is None:
+        values = stored.select("number", F.lit(True).alias("hit"), "sentiment")
+    else:
+        score = scored.select(F.col("from").alias("__from"), F.col("ts").alias("__ts"), "sentiment", F.lit(True).alias("hit"))
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("from", "ts")])
+        values = stored.select("from", "ts", "number").join(score, same, "left").select("number", "hit", "sentiment")
+    touched = stored.select(_block()).distinct().count()
+    scores = block_scores(values)
+    # Spark's own estimate must not decide: it knows nothing of the lengths of the arrays.
+    scores = F.broadcast(scores) if touched <= BROADCAST_BLOCKS else scores.hint("merge")
+    met = spark.read.parquet(f"{path}/postings").join(scores, "block")
+    weighed = F.zip_with(
+        _numbers(), "tfs",
+        lambda number, tf: F.struct(F.get("scores", (number - F.col("low")).cast("int")).alias("of"), tf.alias("tf")),
+    )
+    hits = met.select("word", F.filter(weighed, lambda w: w["of"]["hit"]).alias("hits")).where(F.size("hits") > 0)
+    values_of = F.filter("hits", lambda w: w["of"]["sentiment"].isNotNull())
+    total = F.aggregate(values_of, F.lit(0.0), lambda so_far, w: so_far + w["of"]["sentiment"] * w["tf"])
+    sums = hits.select("word", F.when(F.size(values_of) > 0, total).alias("total"))
+    return sums.groupBy("word").agg(F.sum("total").alias("totalsentiment")).orderBy("totalsentiment", "word")

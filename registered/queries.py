@@ -108,12 +108,11 @@ def words_by_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words_by_sentiment_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for two domains, from one stored index of posting lists."""
+    """The same for two domains, from one stored index of posting lists that keeps the scores."""
     path = scratch_folder(spark)
-    scored = inputs.scored(spark, sf_dir)
-    postings.write_index(scored, path)
+    postings.write_index(inputs.scored(spark, sf_dir), path, ("sentiment",))
     parts = [
-        postings.word_totals(spark, path, scored, domain).select(
+        postings.word_totals(spark, path, None, domain).select(
             F.lit(domain).alias("domain"), "word", F.round("totalsentiment", 6).alias("totalsentiment")
         )
         for domain in (inputs.DOMAIN, inputs.OTHER_DOMAIN)

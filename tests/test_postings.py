@@ -40,3 +40,16 @@ def test_blocks_are_bounded_and_decode_to_what_they_were(spark, tmp_path):
     spans = spark.read.parquet(str(tmp_path / "messages")).groupBy("from_domain").agg(F.min("number"), F.max("number")).collect()
     ordered = sorted((low, high) for _, low, high in spans)
     assert all(a[1] < b[0] for a, b in zip(ordered[:-1], ordered[1:], strict=True))
+
+
+def test_scores_of_the_index_and_scores_beyond_the_broadcast(spark, tmp_path, monkeypatch):
+    scored = messages(spark)
+    postings.write_index(scored, str(tmp_path), ("sentiment",))
+    half = scored.where("ts % 2 = 0")
+    for blocks in (postings.BROADCAST_BLOCKS, 0):
+        monkeypatch.setattr(postings, "BROADCAST_BLOCKS", blocks)
+        for given, rows in ((None, scored), (half.drop("body"), half)):
+            got = postings.word_totals(spark, str(tmp_path), given, "a.org")
+            assert ("strategy=broadcast" in got._jdf.queryExecution().analyzed().toString()) == (blocks > 0)
+            wanted = reports.words_by_sentiment(rows, "a.org").collect()
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, wanted), key=str)
