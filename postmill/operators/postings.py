@@ -113,8 +113,10 @@ def word_totals(spark: SparkSession, path: str, scored: DataFrame | None, domain
         _numbers(), "tfs",
         lambda number, tf: F.struct(F.get("scores", (number - F.col("low")).cast("int")).alias("of"), tf.alias("tf")),
     )
-    hits = met.select("word", F.filter(weighed, lambda w: w["of"]["hit"]).alias("hits")).where(F.size("hits") > 0)
+    hits = met.select("word", F.filter(weighed, lambda w: w["of"]["hit"]).alias("hits"))
     values_of = F.filter("hits", lambda w: w["of"]["sentiment"].isNotNull())
     total = F.aggregate(values_of, F.lit(0.0), lambda so_far, w: so_far + w["of"]["sentiment"] * w["tf"])
-    sums = hits.select("word", F.when(F.size(values_of) > 0, total).alias("total"))
-    return sums.groupBy("word").agg(F.sum("total").alias("totalsentiment")).orderBy("totalsentiment", "word")
+    # Words without a hit go after the sums: a filter on the hits would be pushed below them and weigh twice.
+    sums = hits.select("word", F.size("hits").alias("n"), F.when(F.size(values_of) > 0, total).alias("total"))
+    totals = sums.groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("totalsentiment"))
+    return totals.where(F.col("n") > 0).select("word", "totalsentiment").orderBy("totalsentiment", "word")
