@@ -56,19 +56,24 @@ def domain_of(address: Column) -> Column:
 
 
 def sentiment_tokens(body: Column) -> Column:
-    """Lower-case word tokens as the scorer sees them (an empty token may be first or last)."""
-    return F.split(F.lower(F.regexp_replace(body, NON_WORD, " ")), " ")
+    """Lower-case word tokens as the scorer sees them (an empty token may be first or last).
+
+    A cleaned body is split as it is.
+    """
+    clean = body.rlike(r"\A[\w ]*+\z") & ~body.contains("  ")
+    return F.split(F.lower(F.when(clean, body).otherwise(F.regexp_replace(body, NON_WORD, " "))), " ")
 
 
 def keyword_tokens(body: Column) -> Column:
     """Lower-case tokens between white space, each wide-trimmed (some may be empty).
 
     A text whose only blanks are spaces, as every cleaned body, takes a plain
-    split without any trim.
+    split without any trim.  One match of the whole text is several times faster than
+    a search that tries every place anew.
     """
     lower = F.lower(body)
     trimmed = F.transform(F.split(lower, r"\s+"), wide_trim)
-    return F.when(body.rlike(r"[\x00-\x1f]"), trimmed).otherwise(F.split(lower, " "))
+    return F.when(~body.rlike(r"\A[^\x00-\x1f]*+\z"), trimmed).otherwise(F.split(lower, " "))
 
 
 def first_sentence_words(body: Column) -> Column:

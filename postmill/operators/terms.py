@@ -125,30 +125,54 @@ def term_counts(
     return _without(counts, stop_words) if isinstance(stop_words, DataFrame) else counts
 
 
-def reachable_counts(
-    messages: DataFrame,
-    keys: list[str],
-    frequency: DataFrame,
-    n: int,
-    body: str = "body",
-    stop_words: list[str] | None = None,
+def message_runs(
+    messages: DataFrame, keys: list[str], body: str = "body", stop_words: list[str] | None = None
 ) -> DataFrame:
-    """:func:`term_counts` without the words that can't be among a message's ``n`` best.
+    """:func:`term_counts` with one row per message: keys and the array ``runs`` of (word, tf).
+
+    Stored, the runs serve frequencies and scores without another look at the texts.
+    """
+    words = message_words(messages, keys, body, _stop_list(stop_words)).withColumn("words", F.sort_array("words"))
+    return _run_starts(words, keys).select(*keys, F.transform("starts", _run).alias("runs"))
+
+
+def counts_of_runs(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys, ``word``, ``tf``, one row for each run; a stored word is declared as never null again."""
+    return _inlined(runs, keys, F.col("runs"))
+
+
+def _inlined(rows: DataFrame, keys: list[str], runs: Column) -> DataFrame:
+    # In the generator, what the runs are cut by is made once a row, not once a run.
+    return rows.select(*keys, F.inline(runs)).select(*keys, F.coalesce("word", F.lit("")).alias("word"), "tf")
+
+
+def reachable_runs(runs: DataFrame, keys: list[str], frequency: DataFrame, n: int) -> DataFrame:
+    """:func:`counts_of_runs` without the words that can't be among a message's ``n`` best.
 
     A word scores tf * idf, and every idf lies between those of the most and of the least
     frequent word.  The n-th highest tf of a message times the lowest idf is a floor that
     n of its words reach; a word whose tf times the highest idf stays below is left out,
     inside the row, before anything is joined, shuffled or ranked.  Ties stay.
     """
-    words = message_words(messages, keys, body, _stop_list(stop_words)).withColumn("words", F.sort_array("words"))
-    runs = _run_starts(words, keys).select(*keys, F.transform("starts", _run).alias("runs"))
     total, most, least = F.sum("df"), F.max("df"), F.min("df")
     # Rounded outward, so that no word is lost to the last digit.
     bound = frequency.agg((F.try_divide(F.log2(total / most), F.log2(total / least)) * (1 - 1e-9)).alias("bound")).scalar()
     tfs = F.sort_array(F.transform("runs", lambda run: run["tf"]), asc=False)
     floor = F.coalesce(F.get(tfs, F.lit(n - 1)) * bound, F.lit(0.0))
     floored = runs.select(*keys, "runs", floor.alias("floor"))
-    return floored.select(*keys, F.inline(F.filter("runs", lambda run: run["tf"] >= F.col("floor"))))
+    return _inlined(floored, keys, F.filter("runs", lambda run: run["tf"] >= F.col("floor")))
+
+
+def reachable_counts(
+    messages: DataFrame,
+    keys: list[str],
+    frequency: DataFrame,
+    n: int,
+    body: str = "body",
+    stop_words: list[str] | None = None,
+) -> DataFrame:
+    """:func:`reachable_runs` of messages."""
+    return reachable_runs(message_runs(messages, keys, body, stop_words), keys, frequency, n)
 
 
 def _frequency(words: DataFrame) -> DataFrame:

@@ -19,9 +19,8 @@ def message_keywords(
     """The ``n`` best words of each message: ``doc``, ``word``, ``score``.
 
     Words that can't be among them are left out before the scores are made, unless the
-    stop words are a table, which is applied later.  The texts are read for the frequencies and again for the scores.  For
-    several runs over one corpus write ``terms.term_counts`` to a table once and
-    call :func:`keywords_of_counts` on it.
+    stop words are a table, which is applied later.  The texts are read for the frequencies and again for the scores.
+    Of a large corpus write ``terms.message_runs`` to a table once and call :func:`keywords_of_runs` on it.
     """
     bodies = emails.filter(F.col("body").isNotNull())
     frequency = terms.message_frequency(bodies, "body", stop_words)
@@ -39,6 +38,14 @@ def keywords_of_counts(
     return _best(counts, terms.document_frequency(counts), n, frequent)
 
 
+def keywords_of_runs(
+    runs: DataFrame, n: int = terms.TOP_WORDS, frequent: int = terms.FREQUENT_WORDS
+) -> DataFrame:
+    """:func:`message_keywords` from stored ``terms.message_runs``; no text is read."""
+    frequency = terms.document_frequency(terms.counts_of_runs(runs, []))
+    return _best(terms.reachable_runs(runs, KEYS, frequency, n), frequency, n, frequent)
+
+
 def _best(counts: DataFrame, frequency: DataFrame, n: int, frequent: int) -> DataFrame:
     best = terms.top_words(terms.word_scores(counts, frequency, KEYS, frequent), KEYS, n)
     return best.select(terms.entity_id(F.col("from"), F.col("ts")).alias("doc"), "word", "score")

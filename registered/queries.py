@@ -150,8 +150,15 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_counts(inputs.emails(spark, sf_dir), KEYS, "body", inputs.STOP_WORDS)
 
 
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and counts of each message, stored: the texts are cleaned, merged and split once."""
+    path = scratch_folder(spark)
+    terms.message_runs(inputs.emails(spark, sf_dir), KEYS, "body", inputs.STOP_WORDS).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def message_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = keywords.message_keywords(inputs.emails(spark, sf_dir), inputs.STOP_WORDS)
+    best = keywords.keywords_of_runs(_runs(spark, sf_dir))
     return best.select("doc", "word", F.round("score", 6).alias("score"))
 
 

@@ -237,3 +237,20 @@ def test_few_rows_reach_the_window(spark):
 def test_one_word_vocabulary_has_no_bound(spark):
     emails = spark.createDataFrame([("a", 1, "apple"), ("b", 1, "apple apple")], "`from` string, ts long, body string")
     assert terms.reachable_counts(emails, ["from"], terms.message_frequency(emails.limit(1)), 1).count() == 2
+
+
+def test_stored_runs_give_the_same_keywords_and_scores(spark, tmp_path):
+    """No text is read again for the frequencies, the near words and the far ones."""
+    bodies = ["one two two three", "two\tthree four \x01five", "five\n five  one", None, "", "the", "éé éé x" + "y" * 70]
+    frame = emails(spark, bodies * 3).withColumn("ts", F.monotonically_increasing_id())
+    path = str(tmp_path / "runs")
+    terms.message_runs(frame, ["from", "ts"], "body", STOP).write.parquet(path)
+    runs = spark.read.parquet(path)
+    for n, frequent in ((1, 1), (3, 2), (10, 100_000)):
+        wanted = keywords.message_keywords(frame, STOP, n, frequent).collect()
+        assert sorted(map(tuple, keywords.keywords_of_runs(runs, n, frequent).collect())) == sorted(map(tuple, wanted))
+    stored = terms.counts_of_runs(runs, ["from", "ts"])
+    counts = terms.term_counts(frame, ["from", "ts"], "body", STOP)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, counts.collect()))
+    assert not stored.schema["word"].nullable
+    assert "body" not in plan_of(keywords.keywords_of_runs(runs))
