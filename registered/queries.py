@@ -210,7 +210,8 @@ def inverse_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole scored matrix, before the cut to the best words."""
-    scores = terms.word_scores(_counts(spark, sf_dir), _frequency(spark, sf_dir), KEYS)
+    counts = terms.counts_of_runs(_runs(spark, sf_dir), KEYS)
+    scores = terms.word_scores(counts, terms.document_frequency(counts), KEYS)
     return scores.select("from", "ts", "word", F.round("score", 6).alias("score"))
 
 

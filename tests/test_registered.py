@@ -55,3 +55,10 @@ def test_entry(spark):
 def test_at_most_ten_words_per_message(spark):
     best = driver.entry(spark).groupBy("doc").count()
     assert best.agg({"count": "max"}).first()[0] <= 10
+
+
+@pytest.mark.parametrize("name", ["message_keywords", "word_scores"])
+def test_texts_are_split_once(spark, name):
+    """The branches of the plan start from stored runs of words, not from the documents."""
+    plan = plan_of(driver.queries()[name](spark, SMALL))
+    assert "regexp_replace" not in plan and "documents.parquet" not in plan
