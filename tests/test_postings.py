@@ -53,3 +53,19 @@ def test_scores_of_the_index_and_scores_beyond_the_broadcast(spark, tmp_path, mo
             assert ("strategy=broadcast" in got._jdf.queryExecution().analyzed().toString()) == (blocks > 0)
             wanted = reports.words_by_sentiment(rows, "a.org").collect()
             assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, wanted), key=str)
+
+
+def test_kept_sums_stand_for_whole_blocks(spark, tmp_path, monkeypatch):
+    """Blocks inside a domain are added up as they are stored; those at its ends are opened."""
+    monkeypatch.setattr(postings, "BLOCK", 16)
+    scored = messages(spark, 900).repartition(3)
+    postings.write_index(scored, str(tmp_path), ("sentiment",))
+    stored = spark.read.parquet(str(tmp_path / "postings"))
+    assert stored.agg(F.sum("n")).first()[0] == postings.entries(stored).count()
+    opened, block_scores = [], postings.block_scores
+    monkeypatch.setattr(postings, "block_scores", lambda rows: opened.append(rows.count()) or block_scores(rows))
+    for domain in ("a.org", "b.org", "c.org", "none.org"):
+        got = postings.word_totals(spark, str(tmp_path), None, domain).collect()
+        wanted = reports.words_by_sentiment(scored, domain).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(map(tuple, wanted), key=str)
+    assert max(opened) < 2 * 16 and opened[-1] == 0
