@@ -26,14 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postmill.llm import packing
-from postmill.llm.common import append_columns, ranges, written
+from postmill.llm.common import append_columns, arrow_batches, ranges, written
 
 #: Ends of both lists that one piece merges.
 PIECE = 1 << 16
 #: Characters of text that are aligned together; a longer text stands alone.
 BATCH_CHARS = 1 << 20
 #: Words whose tokens a worker remembers before it begins anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
+#: Rows that a worker is handed together: whole texts lie in buffers on both sides of its pipe.
+BATCH_ROWS = 500
 #: Pairs of ids that are broadcast at most, 16 bytes each and their hash table.
 BROADCAST_PAIRS = 1_000_000
 
@@ -339,7 +341,8 @@ def with_link_counts(aligned: DataFrame, broadcast_pairs: int = BROADCAST_PAIRS)
     """
     new = {"links", "n_links", "n_best", "count_sum", "__row"}
     kept = [f"`{c}`" for c in aligned.columns if c.lower() not in new]
-    stored = written(aligned.select(*kept, "links", F.monotonically_increasing_id().alias("__row")))
+    with arrow_batches(aligned.sparkSession, BATCH_ROWS):
+        stored = written(aligned.select(*kept, "links", F.monotonically_increasing_id().alias("__row")))
     counts = written(pair_counts(stored))
     n_pairs, total = counts.agg(F.count("*"), F.sum("n")).first()
     key = F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -9,7 +10,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from postmill.llm import alignment, queries
-from postmill.llm.common import read_table
+from postmill.llm.common import arrow_batches, read_table
 from tests.conftest import SMALL
 from tests.llm import brute
 
@@ -91,3 +92,20 @@ def test_no_pair_is_sent_whole_to_one_task(spark):
     aligned = alignment.align(docs, queries.tokenizer_path(), queries.piece_model_path())
     counts = alignment.pair_counts(aligned)
     assert counts.agg(F.max("n")).first()[0] == 200 and counts.where("best").count() == counts.count()
+
+
+def test_workers_are_handed_few_rows_at_a_time(spark, monkeypatch):
+    """A whole batch of texts lies in buffers of the executor and of its worker."""
+    name, handed = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    store = alignment.written
+    monkeypatch.setattr(alignment, "written", lambda df: handed.append(int(spark.conf.get(name))) or store(df))
+    docs = spark.range(50).select(F.lit("some words").alias("text"))
+    aligned = alignment.align(docs, queries.tokenizer_path(), queries.piece_model_path())
+    assert alignment.with_link_counts(aligned).count() == 50
+    assert handed[0] == alignment.BATCH_ROWS and spark.conf.get(name) == before
+    with arrow_batches(spark, 7):
+        sizes = spark.range(20, numPartitions=1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long"
+        ).collect()
+    assert sum(r["n"] for r in sizes) == 20 and max(r["n"] for r in sizes) == 7
